@@ -9,6 +9,8 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +27,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the Arrow batches of the Python operators, so that long texts fit in memory."""
+    """Bound the Arrow batches of the Python operators, so that long texts fit in memory.
+
+    Also sends this package to the executors, once an application: they need not have it installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        top = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="wakeline-")) / f"{top.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:

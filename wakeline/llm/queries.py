@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import bpe, quality_rules, secret_scan
 
 QUERIES = {
     "op2_quality_rules": quality_rules.query,
+    "op8_secret_ledger": secret_scan.query,
+    "op9_bpe_transducer": bpe.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
