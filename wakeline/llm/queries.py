@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, quality_rules, secret_scan
+from . import bpe, quality_rules, secret_scan, url_filter
 
 QUERIES = {
     "op2_quality_rules": quality_rules.query,
+    "op5_bloom_cascade": url_filter.query,
     "op8_secret_ledger": secret_scan.query,
     "op9_bpe_transducer": bpe.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_bloom_cascade": url_filter.SQL,
+}
