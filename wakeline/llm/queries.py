@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, quality_rules, secret_scan, url_filter
+from . import bpe, near_dedup, quality_rules, secret_scan, url_filter
 
 QUERIES = {
     "op2_quality_rules": quality_rules.query,
     "op5_bloom_cascade": url_filter.query,
+    "op7_fast_sketch_dedup": near_dedup.query,
     "op8_secret_ledger": secret_scan.query,
     "op9_bpe_transducer": bpe.query,
 }
