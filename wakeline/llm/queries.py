@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import bpe, near_dedup, quality_rules, secret_scan, url_filter
+from . import bpe, near_dedup, packing, quality_classifier, quality_rules, secret_scan, url_filter
 
 QUERIES = {
     "op2_quality_rules": quality_rules.query,
+    "op3_nb_svm_quality": quality_classifier.query,
     "op5_bloom_cascade": url_filter.query,
     "op7_fast_sketch_dedup": near_dedup.query,
     "op8_secret_ledger": secret_scan.query,
     "op9_bpe_transducer": bpe.query,
+    "op10_best_fit_packing": packing.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_nb_svm_quality": quality_classifier.query,
     "op5_bloom_cascade": url_filter.SQL,
 }
