@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, hmm_lm, near_dedup, packing, quality_classifier, quality_rules, secret_scan, url_filter
+from . import bpe, hmm_lm, media_columns, near_dedup, packing, quality_classifier, quality_rules, secret_scan, url_filter
 
 QUERIES = {
     "op2_quality_rules": quality_rules.query,
     "op3_nb_svm_quality": quality_classifier.query,
+    "op4_webp_columns": media_columns.query,
     "op5_bloom_cascade": url_filter.query,
     "op6_hmm_lm": hmm_lm.query,
     "op7_fast_sketch_dedup": near_dedup.query,
