@@ -17,7 +17,7 @@ member instead of all pairs.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -151,6 +151,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, ok) of pairs, from whole texts (cid, text)."""
     of = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"text_{x}"))
     return pairs.join(of("b"), "b").join(of("a"), "a").mapInPandas(_verified, "a long, b long, ok boolean")
 
@@ -163,8 +164,11 @@ def _labelled(rows: DataFrame, links: DataFrame | None) -> DataFrame:
     return rows.join(parts, "cid", "left").select("key", "cid", "n", F.coalesce("component", "cid").alias("comp"))
 
 
-def _links_of(buckets: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """All verified links that matter for the components of the classes in ``buckets`` (key, cid, n)."""
+def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame | None:
+    """All verified links that matter for the components of the classes in ``buckets`` (key, cid, n).
+
+    verify turns pairs (a, b) into (a, b, ok). None: no two classes share a bucket.
+    """
     key = Window.partitionBy("key")
     links: DataFrame | None = None
     failed: DataFrame | None = None
@@ -183,18 +187,18 @@ def _links_of(buckets: DataFrame, texts: DataFrame) -> DataFrame | None:
         if last:
             x, y = (rows.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "comp"))) for s in "xy")
             pairs = x.join(y, "key").where("comp_x < comp_y")
-            fit = 100 * F.least("n_x", "n_y") >= PERCENT * F.greatest("n_x", "n_y")
+            fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
             pairs = pairs.where(fit).select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct()
         else:
             # Every class meets the one class of its buckets that comes first in this round's order.
             order = F.xxhash64(F.lit(turn), F.col("cid"))
             first = F.min(F.struct(order.alias("o"), F.col("cid"), F.col("comp"), F.col("n"))).over(key)
-            star = rows.withColumn("r", first).where((F.col("r.comp") != F.col("comp")) & (100 * F.least("n", "r.n") >= PERCENT * F.greatest("n", "r.n")))
+            star = rows.withColumn("r", first).where((F.col("r.comp") != F.col("comp")) & (100 * F.least("n", "r.n") >= percent * F.greatest("n", "r.n")))
             pairs = star.groupBy(F.col("cid").alias("b")).agg(F.min("r").alias("r")).select(F.col("r.cid").alias("a"), "b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
-        tested = written(_verify(pairs, texts), "tested")
+        tested = written(verify(pairs), "tested")
         good = tested.where("ok").select("a", "b")
         bad = tested.where("not ok").select("a", "b")
         links = good if links is None else links.unionByName(good)
@@ -231,7 +235,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.join(hint(wanted.select(F.col("head").alias("doc_id")).distinct()), "doc_id", "left_semi")
     texts = texts.mapInPandas(_with_class, "cid long, text string").join(hint(wanted.select("cid")), "cid", "left_semi")
     texts = written(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
-    links = _links_of(buckets, texts)
+    links = links_of(buckets, lambda pairs: _verify(pairs, texts))
     if links is not None:
         parts = connected_components(links)
         least = heads.join(parts, F.col("cid") == F.col("node")).select("cid", "component", "head")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, hmm_lm, media_columns, near_dedup, packing, quality_classifier, quality_rules, secret_scan, url_filter
+from . import bpe, hmm_lm, line_dedup, media_columns, near_dedup, packing, quality_classifier, quality_rules, secret_scan, url_filter
 
 QUERIES = {
+    "op1_fuzzy_lines": line_dedup.query,
     "op2_quality_rules": quality_rules.query,
     "op3_nb_svm_quality": quality_classifier.query,
     "op4_webp_columns": media_columns.query,
