@@ -247,6 +247,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", top.alias("component_id"), top.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents without those that are not their component's least doc_id; same columns.
+
+    The ids that go are sent to every executor while they are few, and joined by a shuffle beyond.
+    Rows without a doc_id stay.
+    """
+    gone = written(near_duplicates(docs).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "copies")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: a row per document with its component."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
