@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read_table, small_batches, text_of, written
-from .components import connected_components
+from .components import connected_components, few_components
 
 SHINGLE_WORDS = 5
 #: Link at 100 * intersection >= PERCENT * union.
@@ -35,8 +35,8 @@ BAND_ROWS, BANDS = 7, 90
 COORDINATES = BAND_ROWS * BANDS
 CACHE_WORDS = 400_000
 #: Cross pairs in buckets that are compared at once instead of by another round of representatives.
-PAIRS_AT_ONCE = 2.0
-STAR_ROUNDS = 6
+PAIRS_AT_ONCE = 4.0
+STAR_ROUNDS = 4
 #: Candidates up to this many are looked up by a broadcast of their ids (16 bytes each); beyond, by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -156,31 +156,39 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(of("b"), "b").join(of("a"), "a").mapInPandas(_verified, "a long, b long, ok boolean")
 
 
-def _labelled(rows: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Bucket rows with their class's component under the links so far."""
-    if links is None:
-        return rows.withColumn("comp", F.col("cid"))
-    parts = connected_components(links).select(F.col("node").alias("cid"), "component")
-    return rows.join(parts, "cid", "left").select("key", "cid", "n", F.coalesce("component", "cid").alias("comp"))
+#: Links up to this many are joined by one task where the caller allows it; more by distributed union-find.
+FEW_LINKS = 2_000_000
 
 
-def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT) -> DataFrame | None:
-    """All verified links that matter for the components of the classes in ``buckets`` (key, cid, n).
+def components_of(links: DataFrame, n_links: int, native: bool) -> DataFrame:
+    few = not native and n_links <= FEW_LINKS
+    return few_components(links) if few else connected_components(links)
 
-    verify turns pairs (a, b) into (a, b, ok). None: no two classes share a bucket.
+
+def _unresolved(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows of buckets that hold several components, with the number of rows of other components there."""
+    key, own = Window.partitionBy("key"), Window.partitionBy("key", "comp")
+    mixed = rows.join(parts.select(F.col("node").alias("cid"), "component"), "cid", "left")
+    mixed = mixed.select("key", "cid", "n", F.coalesce("component", "cid").alias("comp"))
+    mixed = mixed.withColumn("lo", F.min("comp").over(key)).withColumn("hi", F.max("comp").over(key)).where("lo != hi")
+    return mixed.withColumn("others", F.count("*").over(key) - F.count("*").over(own)).drop("lo", "hi")
+
+
+def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT, native: bool = False) -> tuple[DataFrame | None, int]:
+    """All verified links that matter for the components of the classes in ``buckets`` (key, cid, n, others), and their number.
+
+    others is the number of other rows in a row's bucket. verify turns pairs (a, b) into (a, b, ok).
+    native keeps to DataFrame operations.
     """
     key = Window.partitionBy("key")
     links: DataFrame | None = None
     failed: DataFrame | None = None
-    rows = buckets
+    n_links = 0
+    rows = buckets.withColumn("comp", F.col("cid"))
     for turn in range(STAR_ROUNDS + 1):
-        mixed = _labelled(rows, links)
-        mixed = mixed.withColumn("lo", F.min("comp").over(key)).withColumn("hi", F.max("comp").over(key))
-        rows = written(mixed.where("lo != hi").select("key", "cid", "n", "comp"), "buckets")
-        per = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
-            F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("s")
-        )
-        size, cross = per.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
+        if links is not None:
+            rows = written(_unresolved(rows.select("key", "cid", "n"), components_of(links, n_links, native)), "buckets")
+        size, cross = rows.agg(F.count("*"), F.sum("others") / 2).first()
         if not size:
             break
         last = turn == STAR_ROUNDS or cross <= PAIRS_AT_ONCE * size
@@ -193,20 +201,20 @@ def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
             # Every class meets the one class of its buckets that comes first in this round's order.
             order = F.xxhash64(F.lit(turn), F.col("cid"))
             first = F.min(F.struct(order.alias("o"), F.col("cid"), F.col("comp"), F.col("n"))).over(key)
-            star = rows.withColumn("r", first).where((F.col("r.comp") != F.col("comp")) & (100 * F.least("n", "r.n") >= percent * F.greatest("n", "r.n")))
+            fit = 100 * F.least("n", "r.n") >= percent * F.greatest("n", "r.n")
+            star = rows.withColumn("r", first).where((F.col("r.comp") != F.col("comp")) & fit)
             pairs = star.groupBy(F.col("cid").alias("b")).agg(F.min("r").alias("r")).select(F.col("r.cid").alias("a"), "b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
         tested = written(verify(pairs), "tested")
-        good = tested.where("ok").select("a", "b")
-        bad = tested.where("not ok").select("a", "b")
+        good, bad = tested.where("ok").select("a", "b"), tested.where("not ok").select("a", "b")
         links = good if links is None else links.unionByName(good)
         failed = bad if failed is None else failed.unionByName(bad)
-        rows = rows.select("key", "cid", "n")
+        n_links += good.count()
         if last:
             break
-    return links
+    return links, n_links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -226,18 +234,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     exploded = classes.select("cid", "n", F.explode("keys").alias("key"))
     by_key = Window.partitionBy("key")
-    shared = exploded.withColumn("c", F.count("*").over(by_key)).where("c > 1").select("key", "cid", "n")
-    buckets = written(shared, "buckets")
-    heads = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("head"))
+    shared = exploded.withColumn("others", F.count("*").over(by_key) - 1).where("others > 0")
+    buckets = written(shared.select("key", "cid", "n", "others"), "buckets")
+    heads = written(rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("head")), "heads")
     wanted = written(buckets.select("cid").distinct().join(heads, "cid"), "candidates")
     few = wanted.count() <= BROADCAST_IDS
     hint = F.broadcast if few else (lambda df: df)
     texts = docs.join(hint(wanted.select(F.col("head").alias("doc_id")).distinct()), "doc_id", "left_semi")
     texts = texts.mapInPandas(_with_class, "cid long, text string").join(hint(wanted.select("cid")), "cid", "left_semi")
     texts = written(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
-    links = links_of(buckets, lambda pairs: _verify(pairs, texts))
-    if links is not None:
-        parts = connected_components(links)
+    links, n_links = links_of(buckets, lambda pairs: _verify(pairs, texts))
+    if n_links:
+        parts = components_of(links, n_links, False)
         least = heads.join(parts, F.col("cid") == F.col("node")).select("cid", "component", "head")
         tops = least.groupBy("component").agg(F.min("head").alias("top"))
         heads = heads.join(least.join(tops, "component").select("cid", "top"), "cid", "left")
@@ -260,3 +268,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: a row per document with its component."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+#: The same by brute force: all pairs that share a shingle, and everything reachable over links.
+SQL = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reach(doc_id, r) AS (SELECT x, y FROM e UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON reach.r = e.x),
+least_of AS (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""

@@ -161,3 +161,26 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "failed_rules",
     )
+
+
+_BOUNDS = ", ".join(
+    f"CASE WHEN {' OR '.join(f'{r.metric} {op} {b}' for op, b in (('<', r.low), ('>', r.high)) if b is not None)} THEN '{r.name}' END" for r in RULES
+)
+_BLANK_FREE = r"[^\x20\x09-\x0D]"
+#: The same by plain lists and counts of windows.
+SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_BLANK_FREE}+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_BLANK_FREE}')) AS l FROM documents),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+c AS (SELECT doc_id, sum(least(3, coalesce(ahead - i, 3))) AS n FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS ahead FROM r) GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines, len(list_intersect(list_distinct(w), {STOP_WORDS!r})) AS n_stop_words,
+    len(list_filter(l, lambda x: ends_with(rtrim(x), '...') OR ends_with(rtrim(x), '…'))) AS n_ellipsis FROM t LEFT JOIN c USING (doc_id)),
+q AS (SELECT *, coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_chars, coalesce(n_symbols / nullif(n_words, 0), 0) AS symbol_ratio,
+    coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_ratio, coalesce(n_ellipsis / nullif(n_lines, 0), 0) AS ellipsis_line_ratio,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+f AS (SELECT *, concat_ws(',', {_BOUNDS}) AS failed_rules FROM q)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM f
+"""
