@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from wakeline.operators.live import PING, SHIP, live_columns
 
 DELAY = "5 seconds"
+#: JSON keeps milliseconds unless told otherwise.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 OUT = "mmsi bigint, recorded_time timestamp, ping string, ship string"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -69,11 +71,11 @@ def as_of(pings: DataFrame, static: DataFrame, delay: str = DELAY) -> DataFrame:
     spark = pings.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     side = lambda df, n, names: df.withWatermark("recorded_time", delay).select(
-        "mmsi", "recorded_time", F.lit(n).alias("side"), F.unix_micros("recorded_time").alias("at"), F.to_json(F.struct(*names)).alias("body")
+        "mmsi", "recorded_time", F.lit(n).alias("side"), F.unix_micros("recorded_time").alias("at"), F.to_json(F.struct(*names), TIMES).alias("body")
     )
     both = side(static, 0, SHIP).unionByName(side(pings, 1, PING)).where(F.col("mmsi").isNotNull())
     joined = both.groupBy("mmsi").transformWithStateInPandas(LastVersion(), OUT, "Append", "EventTime")
     ping_type = pings.select(F.struct(*PING)).schema[0].dataType
     ship_type = static.select(F.struct(*SHIP)).schema[0].dataType
-    parsed = joined.select(F.from_json("ping", ping_type).alias("p"), F.from_json("ship", ship_type).alias("s"))
+    parsed = joined.select(F.from_json("ping", ping_type, TIMES).alias("p"), F.from_json("ship", ship_type, TIMES).alias("s"))
     return parsed.select("p.*", "s.*").select(*PING, *live_columns())
