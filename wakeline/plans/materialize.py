@@ -53,8 +53,8 @@ class Table:
         at = self.current()
         if at is None:
             return self.spark.createDataFrame([], self.schema)
-        columns = [c.split()[0] for c in self._names()]
-        return self.spark.read.parquet(at).select(*columns)
+        schema = f"{self.schema}, event_date date" if self.day_of else self.schema
+        return self.spark.read.schema(schema).parquet(at).select(*self._names())
 
     def _names(self) -> list[str]:
         return [f.name for f in self.spark.createDataFrame([], self.schema).schema.fields]
