@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table, shared_dir, small_batches, text_of
@@ -77,9 +77,14 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def blob_of() -> Column:
+    """The content address of the text (null counts as empty)."""
+    return F.unhex(F.sha2(text_of().cast("binary"), 256))
+
+
 def with_blob(docs: DataFrame) -> DataFrame:
-    """Documents with ``blob``, the content address of the text (null counts as empty)."""
-    return docs.withColumn("blob", F.unhex(F.sha2(text_of().cast("binary"), 256)))
+    """Documents with their content address as ``blob``."""
+    return docs.withColumn("blob", blob_of())
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
@@ -129,23 +134,24 @@ def redact_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     update_ledger(docs, ledger)
     found = read_ledger(spark, ledger).where((F.col("rules") == RULES_VERSION) & (F.size("kinds") > 0)).drop("rules")
     size = found.agg(F.count("*") * 96 + F.coalesce(F.sum(F.size("kinds")), F.lit(0)) * 12).first()[0]
-    joined = with_blob(docs).join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "blob", "left")
+    found = found.select(*[F.col(c).alias(f"_wl_{c}") for c in ("blob", "kinds", "starts", "ends")])  # names that can't clash
+    joined = docs.withColumn("_wl_blob", blob_of()).join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "_wl_blob", "left")
     kept, names = F.col("text"), F.array(*[F.lit(f"[{k}]") for k in KINDS])
     # Overlapping spans: one that starts inside an earlier one is cut to what that one left.
-    spans = F.sort_array(F.arrays_zip("starts", "ends", "kinds"))
+    spans = F.sort_array(F.arrays_zip("_wl_starts", "_wl_ends", "_wl_kinds"))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     built = F.aggregate(
         spans,
         start,
         lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["ends"]).alias("at"),
-            F.when(s["starts"] < acc["at"], acc["out"])
-            .otherwise(F.concat(acc["out"], F.substring(kept, acc["at"] + 1, s["starts"] - acc["at"]), F.get(names, s["kinds"])))
+            F.greatest(acc["at"], s["_wl_ends"]).alias("at"),
+            F.when(s["_wl_starts"] < acc["at"], acc["out"])
+            .otherwise(F.concat(acc["out"], F.substring(kept, acc["at"] + 1, s["_wl_starts"] - acc["at"]), F.get(names, s["_wl_kinds"])))
             .alias("out"),
         ),
         lambda acc: F.concat(acc["out"], F.substring(kept, acc["at"] + 1, F.length(kept))),
     )
-    text = F.when(F.col("kinds").isNull(), kept).otherwise(built)
+    text = F.when(F.col("_wl_kinds").isNull(), kept).otherwise(built)
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
