@@ -7,11 +7,13 @@ bins fill. Each coordinate of two sketches agrees with the sets' Jaccard similar
 the number that agree is concentrated as for independent ones, at a cost of |set| + T log T.
 
 Bands of coordinates send equal-looking sets to the same bucket. Within buckets, links are verified on
-whole sets. Copies with equal sets are one class from the start. Where a bucket holds many classes,
-each is first compared with one representative and linked classes become a component; only pairs of
-different components of a bucket, in every bucket, are then compared exhaustively. Links inside a
-component can't change the result, so none is lost to this, and large groups cost a few comparisons a
-member instead of all pairs.
+whole sets. Copies with equal sets are one class from the start. Every class is first compared with its
+leader, the class of its buckets that meets the most others; in a large group of copies that is the
+text they come from, and most of the group is one component after this. What is left is exact too:
+classes of one leader can only be linked if they share one of the first shingles of their sets, in an
+order that puts the shingles the leader lacks first. Those are rare, so that far copies of a hot text
+meet hardly anything. Classes of different leaders are compared if they share a bucket. Links inside a
+component can't change the result, so none is lost to this, and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -34,9 +36,6 @@ PERCENT = 75
 BAND_ROWS, BANDS = 7, 90
 COORDINATES = BAND_ROWS * BANDS
 CACHE_WORDS = 400_000
-#: Cross pairs in buckets that are compared at once instead of by another round of representatives.
-PAIRS_AT_ONCE = 4.0
-STAR_ROUNDS = 4
 #: Candidates up to this many are looked up by a broadcast of their ids (16 bytes each); beyond, by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -137,23 +136,36 @@ def _with_class(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"cid": cids, "text": pdf["text"]})
 
 
+def first_shingles(x: np.ndarray, leader: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The shingles of x of which one must be shared by every set linked to it.
+
+    Sets that are linked share percent of the larger one. In any order common to both, the first shared
+    shingle lies among the first n - percent * n + 1 of each. The order is: not in the leader, then in it.
+    """
+    inside = np.isin(x, leader, assume_unique=True)
+    return np.concatenate([x[~inside], x[inside]])[: len(x) - -(-percent * len(x) // 100) + 1]
+
+
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes, sets = WordHashes(), {}
     for pdf in batches:
-        ok = []
+        ok, firsts = [], []
         for a, x, y in zip(pdf["a"], pdf["text_a"], pdf["text_b"], strict=True):
             if a not in sets:
                 if len(sets) >= 64:
                     sets.clear()
                 sets[a] = shingles(x, hashes)
-            ok.append(similar(sets[a], shingles(y, hashes)))
-        yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "ok": ok})
+            own = shingles(y, hashes)
+            ok.append(similar(sets[a], own))
+            firsts.append(first_shingles(own, sets[a]).view(np.int64))
+        yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "ok": ok, "firsts": firsts})
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, ok) of pairs, from whole texts (cid, text)."""
+    """(a, b, ok, firsts) of pairs, from whole texts (cid, text); firsts are those of b towards a."""
     of = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"text_{x}"))
-    return pairs.join(of("b"), "b").join(of("a"), "a").mapInPandas(_verified, "a long, b long, ok boolean")
+    joined = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
+    return joined.mapInPandas(_verified, "a long, b long, ok boolean, firsts array<long>")
 
 
 #: Links up to this many are joined by one task where the caller allows it; more by distributed union-find.
@@ -161,60 +173,50 @@ FEW_LINKS = 2_000_000
 
 
 def components_of(links: DataFrame, n_links: int, native: bool) -> DataFrame:
+    """Components of links whose number is known; native ones always by DataFrame operations."""
     few = not native and n_links <= FEW_LINKS
     return few_components(links) if few else connected_components(links)
 
 
-def _unresolved(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of buckets that hold several components, with the number of rows of other components there."""
-    key, own = Window.partitionBy("key"), Window.partitionBy("key", "comp")
-    mixed = rows.join(parts.select(F.col("node").alias("cid"), "component"), "cid", "left")
-    mixed = mixed.select("key", "cid", "n", F.coalesce("component", "cid").alias("comp"))
-    mixed = mixed.withColumn("lo", F.min("comp").over(key)).withColumn("hi", F.max("comp").over(key)).where("lo != hi")
-    return mixed.withColumn("others", F.count("*").over(key) - F.count("*").over(own)).drop("lo", "hi")
-
+def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT, native: bool = False) -> tuple[DataFrame, int]:
+    """All verified links (a, b) that matter for the components of the classes in ``buckets``, and their number.
 
-def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT, native: bool = False) -> tuple[DataFrame | None, int]:
-    """All verified links that matter for the components of the classes in ``buckets`` (key, cid, n, others), and their number.
-
-    others is the number of other rows in a row's bucket. verify turns pairs (a, b) into (a, b, ok).
-    native keeps to DataFrame operations.
+    buckets: key, cid, n (size of the class's set), others (other rows in the bucket). verify turns pairs
+    (a, b) into (a, b, ok, firsts). native keeps to DataFrame operations.
     """
+    c = F.col
     key = Window.partitionBy("key")
-    links: DataFrame | None = None
-    failed: DataFrame | None = None
-    n_links = 0
-    rows = buckets.withColumn("comp", F.col("cid"))
-    for turn in range(STAR_ROUNDS + 1):
-        if links is not None:
-            rows = written(_unresolved(rows.select("key", "cid", "n"), components_of(links, n_links, native)), "buckets")
-        size, cross = rows.agg(F.count("*"), F.sum("others") / 2).first()
-        if not size:
-            break
-        last = turn == STAR_ROUNDS or cross <= PAIRS_AT_ONCE * size
-        if last:
-            x, y = (rows.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "comp"))) for s in "xy")
-            pairs = x.join(y, "key").where("comp_x < comp_y")
-            fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
-            pairs = pairs.where(fit).select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct()
-        else:
-            # Every class meets the one class of its buckets that comes first in this round's order.
-            order = F.xxhash64(F.lit(turn), F.col("cid"))
-            first = F.min(F.struct(order.alias("o"), F.col("cid"), F.col("comp"), F.col("n"))).over(key)
-            fit = 100 * F.least("n", "r.n") >= percent * F.greatest("n", "r.n")
-            star = rows.withColumn("r", first).where((F.col("r.comp") != F.col("comp")) & fit)
-            pairs = star.groupBy(F.col("cid").alias("b")).agg(F.min("r").alias("r")).select(F.col("r.cid").alias("a"), "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        if failed is not None:
-            pairs = pairs.join(failed, ["a", "b"], "left_anti")
-        tested = written(verify(pairs), "tested")
-        good, bad = tested.where("ok").select("a", "b"), tested.where("not ok").select("a", "b")
-        links = good if links is None else links.unionByName(good)
-        failed = bad if failed is None else failed.unionByName(bad)
-        n_links += good.count()
-        if last:
-            break
-    return links, n_links
+    degree = F.sum("others").over(Window.partitionBy("cid"))
+    head = F.max(F.struct("degree", "cid")).over(key)
+    ranked = buckets.withColumn("degree", degree).withColumn("head", head)
+    leaders = ranked.groupBy("cid").agg(F.max("head").alias("h"))
+    tested = written(verify(leaders.select(c("h.cid").alias("a"), c("cid").alias("b"))), "tested")
+    near = tested.where((c("a") != c("b")) & c("ok")).select("a", "b")
+    n_near = near.count()
+    parts = components_of(near, n_near, native).select(c("node").alias("cid"), "component")
+    led = tested.select(c("b").alias("cid"), c("a").alias("leader")).join(parts, "cid", "left").join(
+        parts.select(c("cid").alias("leader"), c("component").alias("leader_comp")), "leader", "left"
+    )
+    led = led.select("cid", "leader", F.coalesce("component", "cid").alias("comp"), F.coalesce("leader_comp", "leader").alias("leader_comp"))
+    rows = buckets.join(led, "cid").withColumn("lo", F.min("comp").over(key)).withColumn("hi", F.max("comp").over(key))
+    rows = written(rows.where("lo != hi").select("key", "cid", "n", "comp", "leader", "leader_comp"), "unresolved")
+    fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    side = lambda df, s, *on: df.select(*on, *(c(x).alias(f"{x}_{s}") for x in ("cid", "n", "comp")))
+    ends = [F.least("cid_x", "cid_y").alias("a"), F.greatest("cid_x", "cid_y").alias("b")]
+    # Different leaders, one bucket: one of the two is not led by the bucket's most frequent leader.
+    count = F.count("*").over(Window.partitionBy("key", "leader"))
+    heads = rows.withColumn("c", count).withColumn("main", F.max(F.struct(c("c"), c("leader"))).over(key)["leader"])
+    odd = side(heads.where(c("leader") != c("main")), "x", "key", c("leader").alias("leader_x"))
+    across = odd.join(side(rows, "y", "key", c("leader").alias("leader_y")), "key").where((c("leader_x") != c("leader_y")) & (c("comp_x") != c("comp_y")) & fit)
+    # One leader: one of the two is not in the leader's component.
+    members = rows.select("cid", "n", "comp", "leader", "leader_comp").distinct()
+    firsts = members.join(tested.select(c("b").alias("cid"), "firsts"), "cid").withColumn("g", F.explode("firsts")).drop("firsts")
+    far = side(firsts.where(c("comp") != c("leader_comp")), "x", "leader", "g")
+    within = far.join(side(firsts, "y", "leader", "g"), ["leader", "g"]).where((c("comp_x") != c("comp_y")) & fit)
+    pairs = across.select(*ends).unionByName(within.select(*ends)).distinct()
+    seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = written(verify(pairs.join(seen, ["a", "b"], "left_anti")).select("a", "b", "ok"), "tested").where("ok").select("a", "b")
+    return near.unionByName(more), n_near + more.count()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
