@@ -17,6 +17,7 @@ never are, and no vocabulary is broadcast. Model parameters are TOP + SHAPES col
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +39,7 @@ BLOCK = 256
 SMOOTH = 0.01
 END = b""  # no word is empty
 
-CHUNKS = "chunk string, ids array<long>, held array<boolean>, sizes array<int>, codes binary, tokens array<binary>, counts array<long>"
+CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, tokens array<binary>, counts array<long>"
 SCORED = "ids array<long>, held array<boolean>, sizes array<int>, known array<long>, base array<double>, inner array<double>, classes binary"
 
 
@@ -56,6 +57,16 @@ def shape(token: bytes) -> int:
     return min(max(len(token), 1), 16) * 4 - 4 + kind
 
 
+def squeeze(numbers: np.ndarray, kind: str) -> bytes:
+    """Numbers in few bytes: all their first bytes, then all their second ones, and so on, deflated."""
+    return zlib.compress(numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T.tobytes(), 1)
+
+
+def unsqueeze(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 class _Codes(dict):
     def __missing__(self, token: bytes) -> int:
         self[token] = n = len(self)
@@ -68,10 +79,23 @@ def _chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def done() -> pd.DataFrame:
         codes = np.concatenate(parts)
+        order = np.argsort(-np.bincount(codes), kind="stable")  # frequent words get small codes
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        codes = rank[codes]
         trains = np.repeat(~np.asarray(held, bool), sizes)
         counts = np.bincount(codes[trains], minlength=len(book))
+        words = list(book)
         return pd.DataFrame(
-            {"chunk": [f"{task}-{seq}"], "ids": [ids], "held": [held], "sizes": [sizes], "codes": [codes.astype("<i4").tobytes()], "tokens": [list(book)], "counts": [counts.tolist()]}
+            {
+                "chunk": [(task << 32) + seq],
+                "ids": [ids],
+                "held": [held],
+                "sizes": [sizes],
+                "codes": [squeeze(codes, "<u4")],
+                "tokens": [[words[k] for k in order.tolist()]],
+                "counts": [counts.tolist()],
+            }
         )
 
     for pdf in batches:
@@ -256,21 +280,21 @@ def _annotate(chunks: DataFrame, lexicon: Lexicon) -> DataFrame:
             out = []
             for r in pdf.itertuples(index=False):
                 c = np.asarray(r.found, np.float64)
-                codes, sizes = np.frombuffer(r.codes, "<i4"), np.asarray(r.sizes, np.int64)
+                codes, sizes = unsqueeze(r.codes, "<u4"), np.asarray(r.sizes, np.int64)
                 z = lexicon.classes([bytes(t) for t in r.tokens])
                 base = np.log10((c + 1) / (lexicon.tokens + lexicon.kinds + 1))
                 share = np.log((c + 1) / (lexicon.class_tokens[z] + lexicon.class_kinds[z] + 1))
                 inner = np.where((z < TOP), 0.0, share)
                 at = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
                 total = lambda x: np.add.reduceat(x[codes], at).tolist()  # noqa: B023, E731
-                out.append((r.ids, r.held, r.sizes, total((c > 0).astype(np.int64)), total(base), total(inner), z[codes].astype("<i2").tobytes()))
+                out.append((r.ids, r.held, r.sizes, total((c > 0).astype(np.int64)), total(base), total(inner), squeeze(z[codes], "<i2")))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in SCORED.split(", ")])
 
     return chunks.select("ids", "held", "sizes", "codes", "tokens", "found").mapInPandas(run, SCORED)
 
 
 def _unpacked(row: object) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row.classes, "<i2").astype(np.int64), np.asarray(row.sizes, np.int64)
+    return unsqueeze(row.classes, "<i2").astype(np.int64), np.asarray(row.sizes, np.int64)
 
 
 def baum_welch(scored: DataFrame, hmm: Hmm, rounds: int = ROUNDS) -> Hmm:

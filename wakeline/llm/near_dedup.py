@@ -11,8 +11,8 @@ whole sets. Copies with equal sets are one class from the start. Every class is
 leader, the class of its buckets that meets the most others; in a large group of copies that is the
 text they come from, and most of the group is one component after this. What is left is exact too:
 classes of one leader can only be linked if they share one of the first shingles of their sets, in an
-order that puts the shingles the leader lacks first. Those are rare, so that far copies of a hot text
-meet hardly anything. Classes of different leaders are compared if they share a bucket. Links inside a
+order that puts the shingles the leader lacks first, and the rarest of them before others. So far copies
+of a hot text meet hardly anything. Classes of different leaders are compared if they share a bucket. Links inside a
 component can't change the result, so none is lost to this, and no group is expanded into all its pairs.
 """
 
@@ -136,14 +136,17 @@ def _with_class(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"cid": cids, "text": pdf["text"]})
 
 
-def first_shingles(x: np.ndarray, leader: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The shingles of x of which one must be shared by every set linked to it.
+def first_shingles(x: np.ndarray, leader: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int, int]:
+    """Shingles of x that the leader lacks, some that it has, the number of the former, and how many count.
 
     Sets that are linked share percent of the larger one. In any order common to both, the first shared
-    shingle lies among the first n - percent * n + 1 of each. The order is: not in the leader, then in it.
+    shingle lies among the first n - percent * n + 1 of each, the last number returned. The order puts
+    those not in the leader first, so that only as many of the others are needed as are missing.
     """
     inside = np.isin(x, leader, assume_unique=True)
-    return np.concatenate([x[~inside], x[inside]])[: len(x) - -(-percent * len(x) // 100) + 1]
+    need = len(x) - -(-percent * len(x) // 100) + 1
+    out = x[~inside]
+    return np.concatenate([out, x[inside][: max(0, need - len(out))]]), len(out), need
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,15 +160,17 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 sets[a] = shingles(x, hashes)
             own = shingles(y, hashes)
             ok.append(similar(sets[a], own))
-            firsts.append(first_shingles(own, sets[a]).view(np.int64))
-        yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "ok": ok, "firsts": firsts})
+            found, out, need = first_shingles(own, sets[a])
+            firsts.append((found.view(np.int64), out, need))
+        columns = dict(zip(("firsts", "outside", "need"), zip(*firsts, strict=True), strict=True)) if firsts else {"firsts": [], "outside": [], "need": []}
+        yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "ok": ok, **columns})
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, ok, firsts) of pairs, from whole texts (cid, text); firsts are those of b towards a."""
+    """(a, b, ok) of pairs, from whole texts (cid, text), and the first shingles of b towards a."""
     of = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"text_{x}"))
     joined = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInPandas(_verified, "a long, b long, ok boolean, firsts array<long>")
+    return joined.mapInPandas(_verified, "a long, b long, ok boolean, firsts array<long>, outside int, need int")
 
 
 #: Links up to this many are joined by one task where the caller allows it; more by distributed union-find.
@@ -182,7 +187,7 @@ def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     """All verified links (a, b) that matter for the components of the classes in ``buckets``, and their number.
 
     buckets: key, cid, n (size of the class's set), others (other rows in the bucket). verify turns pairs
-    (a, b) into (a, b, ok, firsts). native keeps to DataFrame operations.
+    (a, b) into (a, b, ok, firsts, outside, need). native keeps to DataFrame operations.
     """
     c = F.col
     key = Window.partitionBy("key")
@@ -210,7 +215,13 @@ def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     across = odd.join(side(rows, "y", "key", c("leader").alias("leader_y")), "key").where((c("leader_x") != c("leader_y")) & (c("comp_x") != c("comp_y")) & fit)
     # One leader: one of the two is not in the leader's component.
     members = rows.select("cid", "n", "comp", "leader", "leader_comp").distinct()
-    firsts = members.join(tested.select(c("b").alias("cid"), "firsts"), "cid").withColumn("g", F.explode("firsts")).drop("firsts")
+    # First the shingles that the leader lacks, the rarest of its classes' before others, then its own.
+    listed = members.join(tested.select(c("b").alias("cid"), "firsts", "outside", "need"), "cid")
+    listed = listed.select(*members.columns, "outside", "need", F.posexplode("firsts").alias("at", "g"))
+    own = c("at") >= c("outside")
+    rarity = F.when(own, F.lit(0)).otherwise(F.count("*").over(Window.partitionBy("leader", "g")))
+    place = F.row_number().over(Window.partitionBy("cid").orderBy("own", "rarity", "g"))
+    firsts = listed.withColumn("own", own).withColumn("rarity", rarity).withColumn("place", place).where(c("place") <= c("need"))
     far = side(firsts.where(c("comp") != c("leader_comp")), "x", "leader", "g")
     within = far.join(side(firsts, "y", "leader", "g"), ["leader", "g"]).where((c("comp_x") != c("comp_y")) & fit)
     pairs = across.select(*ends).unionByName(within.select(*ends)).distinct()
