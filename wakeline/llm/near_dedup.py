@@ -36,7 +36,7 @@ PERCENT = 75
 BAND_ROWS, BANDS = 7, 90
 COORDINATES = BAND_ROWS * BANDS
 CACHE_WORDS = 400_000
-#: Candidates up to this many are looked up by a broadcast of their ids (16 bytes each); beyond, by a shuffle.
+#: Candidates up to this many are looked up by a broadcast of their keys (16 bytes each); beyond, by a shuffle.
 BROADCAST_IDS = 2_000_000
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -122,6 +122,7 @@ def _sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(
             {
                 "doc_id": pdf["doc_id"],
+                "th": pdf["th"],
                 "cid": pd.array([class_id(s) if len(s) else None for s in sets], dtype="Int64"),
                 "n_shingles": [len(s) for s in sets],
                 "keys": [bands(s) if len(s) else None for s in sets],
@@ -240,8 +241,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", text_of().alias("text"))
-    rows = written(docs.mapInPandas(_sketched, "doc_id long, cid long, n_shingles long, keys array<long>"), "sketches")
+    docs = docs.select("doc_id", text_of().alias("text")).withColumn("th", F.xxhash64("text"))
+    rows = written(docs.mapInPandas(_sketched, "doc_id long, th long, cid long, n_shingles long, keys array<long>"), "sketches")
     classes = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
     )
@@ -249,12 +250,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     by_key = Window.partitionBy("key")
     shared = exploded.withColumn("others", F.count("*").over(by_key) - 1).where("others > 0")
     buckets = written(shared.select("key", "cid", "n", "others"), "buckets")
-    heads = written(rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("head")), "heads")
-    wanted = written(buckets.select("cid").distinct().join(heads, "cid"), "candidates")
+    # A class's text is looked up by the hash of a text of its least row, which rows without a doc_id have too.
+    row = F.coalesce("doc_id", F.lit(2**63 - 1))
+    heads = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("head"), F.min(row).alias("row"), F.min_by("th", row).alias("th"))
+    heads = written(heads, "heads")
+    wanted = written(buckets.select("cid").distinct().join(heads, "cid").select("cid", "row", "th"), "candidates")
+    heads = heads.select("cid", "head")
     few = wanted.count() <= BROADCAST_IDS
     hint = F.broadcast if few else (lambda df: df)
-    texts = docs.join(hint(wanted.select(F.col("head").alias("doc_id")).distinct()), "doc_id", "left_semi")
-    texts = texts.mapInPandas(_with_class, "cid long, text string").join(hint(wanted.select("cid")), "cid", "left_semi")
+    texts = docs.withColumn("row", row).join(hint(wanted.select("row", "th").distinct()), ["row", "th"], "left_semi")
+    texts = texts.select("text").mapInPandas(_with_class, "cid long, text string").join(hint(wanted.select("cid")), "cid", "left_semi")
     texts = written(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
     links, n_links = links_of(buckets, lambda pairs: _verify(pairs, texts))
     if n_links:
