@@ -28,6 +28,12 @@ def brute_base(text):
     return sorted(found)
 
 
+def test_bearer_tokens_in_mixed_case():
+    for word in ("bearer", "Bearer", "BEARER", "BEarer", "bearER", "BeArEr"):
+        t = f"é {word}  abcdefghij0123456789-."
+        assert secret_scan.find_secrets(t) == [(2, 5, len(t))]
+
+
 SECRETS = ["password = hunter22", "TOKEN:'abcdef99'", "ſecret=abcdefgh", "Api_Key=\"x\"", "AKIA" + "B2" * 9, "xAKIAZ", "0123456789abcdef" * 2, "tokentoken = abc123456", "😀é"]
 
 

@@ -27,7 +27,7 @@ from .common import read_table, shared_dir, small_batches, text_of
 BASE_KINDS = ("assign", "access", "hex")
 EXTRA_KINDS = ("pem", "jwt", "bearer", "url_login")
 KINDS = BASE_KINDS + EXTRA_KINDS
-RULES_VERSION = "2"
+RULES_VERSION = "3"
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -53,7 +53,7 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
         found += [(m.start(), 3, m.end()) for m in PEM.finditer(text)]
     if "eyJ" in text:
         found += [(m.start(), 4, m.end()) for m in JWT.finditer(text)]
-    if "earer" in text or "EARER" in text:
+    if "bearer" in text.lower():
         found += [(m.start(), 5, m.end()) for m in BEARER.finditer(text)]
     if "://" in text and "@" in text:
         found += [(m.start(), 6, m.end()) for m in URL_LOGIN.finditer(text)]
