@@ -34,6 +34,12 @@ def test_bearer_tokens_in_mixed_case():
         assert secret_scan.find_secrets(t) == [(2, 5, len(t))]
 
 
+@pytest.mark.parametrize(("user", "password"), [(1, 3), (64, 128), (65, 3), (1, 129), (500, 4000)])
+def test_url_logins_of_any_length(user, password):
+    t = "see https://" + "u" * user + ":" + "p:" * (password // 2) + "p" * (password % 2) + "@host.example/x"
+    assert secret_scan.find_secrets(t) == [(4, 6, t.index("@") + 1)]
+
+
 SECRETS = ["password = hunter22", "TOKEN:'abcdef99'", "ſecret=abcdefgh", "Api_Key=\"x\"", "AKIA" + "B2" * 9, "xAKIAZ", "0123456789abcdef" * 2, "tokentoken = abc123456", "😀é"]
 
 

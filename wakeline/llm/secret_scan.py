@@ -27,7 +27,7 @@ from .common import read_table, shared_dir, small_batches, text_of
 BASE_KINDS = ("assign", "access", "hex")
 EXTRA_KINDS = ("pem", "jwt", "bearer", "url_login")
 KINDS = BASE_KINDS + EXTRA_KINDS
-RULES_VERSION = "3"
+RULES_VERSION = "4"
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -35,7 +35,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 BEARER = re.compile(r"(?ai)\bbearer\x20+[A-Za-z0-9._~+/=-]{20,}")
-URL_LOGIN = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s/@:]{1,64}:[^\s/@]{3,128}@")
+URL_LOGIN = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s/@:]++:[^\s/@]{3,}+@")
 
 
 def find_secrets(text: str) -> list[tuple[int, int, int]]:
