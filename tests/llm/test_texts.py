@@ -138,6 +138,30 @@ def test_media_edges(edge_docs, clashing_docs, empty_docs):
     assert media_columns.media_column(empty_docs).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["prose", "few", "repeats", "steps", "grey", "noise"])
+def test_stored_form_uses_the_format(kind, monkeypatch):
+    """References, cache and transforms are written where they fit, and decoded by the general path."""
+    r = np.random.default_rng(3)
+    samples = {
+        "prose": np.frombuffer(media_columns.payload_of(prose(4, 3000))[0], np.uint8).reshape(-1, 12, 4),
+        "few": r.integers(0, 256, (3, 4)).astype(np.uint8)[r.integers(0, 3, (60, 12))],
+        "repeats": np.tile(r.integers(0, 256, (7, 12, 4)).astype(np.uint8), (30, 1, 1)),
+        "steps": np.cumsum(r.integers(0, 2, (600, 12, 4)), 1).astype(np.uint8) + r.integers(0, 256, (600, 1, 4)).astype(np.uint8),
+        "grey": np.repeat(r.integers(0, 256, (600, 12, 1)), 4, 2).astype(np.uint8),
+        "noise": r.integers(0, 256, (24, 12, 4)).astype(np.uint8),
+    }[kind]
+    quick, used = [], []
+    plain = webp._read_literals
+    monkeypatch.setattr(webp, "_read_literals", lambda *a: (x := plain(*a), quick.append(x is not None))[0])
+    for name in ("_undo_predictor", "_undo_cross_colour", "_undo_subtract_green", "_undo_palette"):
+        monkeypatch.setattr(webp, name, lambda *a, f=getattr(webp, name), name=name: (used.append(name), f(*a))[1])
+    got, _ = webp.decode(webp.encode(samples))
+    assert np.array_equal(got, samples)
+    assert any(quick) == (kind == "noise")
+    assert used == {"few": ["_undo_palette"], "steps": ["_undo_predictor"]}.get(kind, used) and (used or kind not in ("few", "steps", "grey"))
+    assert len(webp.encode(samples)) <= len(webp._encode_fixed(samples)) + 21
+
+
 def canonical(lengths):
     """Codes as (value in stream order, bits)."""
     used = sorted((n, s) for s, n in enumerate(lengths) if n)

@@ -1,13 +1,18 @@
 """Lossless WebP: a decoder of the whole format and the writer of the stored form.
 
+``encode`` writes Huffman codes, back-references, colour cache hits and the transform that the content
+asks for, or literals of one width where that takes fewer bytes, as for very short payloads.
+
 The decoder reads prefix codes, back-references and the colour cache, groups of codes, and inverts the
 predictor, cross-colour, subtract-green and palette transforms. Streams whose codes all have one length
-and hold literals only, which is what ``encode`` writes, are decoded at once with numpy; everything else
+and hold literals only are decoded at once with numpy; everything else
 pixel by pixel.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 #: Order in which the lengths of the code-length code are stored (fixed values of the format).
@@ -393,8 +398,8 @@ def _put_fixed_code(out: Writer, symbols: np.ndarray, width: int, size: int) ->
     out.put(int.from_bytes(np.packbits(has, bitorder="little").tobytes(), "little"), size)
 
 
-def encode(samples: np.ndarray) -> bytes:
-    """A lossless WebP file of samples (height, width, RGBA).
+def _encode_fixed(samples: np.ndarray) -> bytes:
+    """A stream of samples (height, width, RGBA) as literals of one width.
 
     All four channels share one code, in which every sample takes as many bits as the number of
     different samples needs; the symbols of a partly used code are filled up.
@@ -426,7 +431,274 @@ def encode(samples: np.ndarray) -> bytes:
     code[symbols] = np.arange(len(symbols))
     lead = np.unpackbits(np.frombuffer(head.value.to_bytes(-(-head.n // 8), "little"), np.uint8), bitorder="little")[: head.n]
     body = np.unpackbits(code[flat][:, None], axis=1, bitorder="big")[:, 8 - n_bits :].ravel()
-    stream = np.packbits(np.concatenate([lead, body]), bitorder="little").tobytes()
+    return np.packbits(np.concatenate([lead, body]), bitorder="little").tobytes()
+
+
+def code_lengths(counts: np.ndarray, limit: int) -> list[int]:
+    """Lengths of a Huffman code of the symbols that occur, none over ``limit``; a lone one has 1."""
+    lengths, used = [0] * len(counts), np.flatnonzero(counts).tolist()
+    weights = [int(counts[s]) for s in used]
+    if len(used) < 2:
+        lengths[used[0] if used else 0] = 1
+        return lengths
+    while True:
+        heap = [(w, k) for k, w in enumerate(weights)]
+        heapq.heapify(heap)
+        parent, n = [0] * (2 * len(used) - 1), len(used)
+        while len(heap) > 1:
+            x, i = heapq.heappop(heap)
+            y, j = heap[0]
+            parent[i] = parent[j] = n
+            heapq.heapreplace(heap, (x + y, n))
+            n += 1
+        depth = [0] * n
+        for k in range(n - 2, -1, -1):
+            depth[k] = depth[parent[k]] + 1
+        if max(depth) <= limit:
+            break
+        weights = [(w + 1) // 2 for w in weights]
+    for k, s in enumerate(used):
+        lengths[s] = depth[k]
+    return lengths
+
+
+def _codes(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Code of every symbol in stream order, and its bits; a lone symbol takes none."""
+    value, bits = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    used = sorted((n, s) for s, n in enumerate(lengths) if n)
+    if len(used) == 1:
+        return value, bits
+    code, before = 0, used[0][0]
+    for n, s in used:
+        code <<= n - before
+        before = n
+        value[s], bits[s] = int(f"{code:0{n}b}"[::-1], 2), n
+        code += 1
+    return value, bits
+
+
+def _put_code(out: Writer, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Write a Huffman code for symbols of these counts; its codes and their bits."""
+    used = np.flatnonzero(counts)
+    if len(used) <= 2 and used.max(initial=0) < 256:
+        two, first = len(used) == 2, int(used[0]) if len(used) else 0
+        out.put(1, 1)
+        out.put(int(two), 1)
+        out.put(int(first > 1), 1)
+        out.put(first, 8 if first > 1 else 1)
+        if two:
+            out.put(int(used[1]), 8)
+        lengths = [0] * len(counts)
+        for s in used.tolist() or [0]:
+            lengths[s] = 1
+        return _codes(lengths)
+    lengths = code_lengths(counts, 15)
+    out.put(0, 1)
+    runs, i = [], 0
+    while i < len(lengths):
+        j = i
+        while j < len(lengths) and lengths[j] == lengths[i]:
+            j += 1
+        n = j - i
+        if lengths[i] == 0 and n >= 11:
+            n = min(n, 138)
+            runs.append((18, n - 11, 7))
+        elif lengths[i] == 0 and n >= 3:
+            runs.append((17, n - 3, 3))
+        elif lengths[i] and n >= 4:
+            n = min(n, 7)
+            runs += [(lengths[i], 0, 0), (16, n - 4, 2)]
+        else:
+            n = 1
+            runs.append((lengths[i], 0, 0))
+        i += n
+    of = code_lengths(np.bincount([k for k, _, _ in runs], minlength=19), 7)
+    last = max(k for k in range(19) if of[LENGTH_ORDER[k]])
+    last = max(last + 1, 4)
+    out.put(last - 4, 4)
+    for k in LENGTH_ORDER[:last]:
+        out.put(of[k], 3)
+    out.put(0, 1)  # lengths of all symbols follow
+    value, bits = _codes(of)
+    for k, extra, n in runs:
+        out.put(int(value[k]), int(bits[k]))
+        out.put(extra, n)
+    return _codes(lengths)
+
+
+def _prefix(v: int) -> tuple[int, int, int]:
+    """Prefix, extra bits and their count of a length or distance."""
+    v -= 1
+    if v < 4:
+        return v, 0, 0
+    k = v.bit_length() - 1
+    return 2 * k + (v >> (k - 1) & 1), v & ((1 << (k - 1)) - 1), k - 1
+
+
+def _cost(counts: np.ndarray) -> float:
+    """Bits that symbols of these counts take, with their code."""
+    c = counts[counts > 0]
+    return float((c * np.log2(c.sum() / c)).sum()) + 5 * len(c)
+
+
+def _literal_cost(image: np.ndarray) -> float:
+    return sum(_cost(np.bincount(c.ravel(), minlength=256)) for c in _split(image))
+
+
+def _copies(argb: list[int]) -> list[tuple[int, int, int]]:
+    """(at, length, distance) of back-references, each the longest from the last place of its three pixels."""
+    out, last, i, n = [], {}, 0, len(argb)
+    while i < n - 2:
+        key = (argb[i], argb[i + 1], argb[i + 2])
+        j = last.get(key)
+        last[key] = i
+        if j is None:
+            i += 1
+            continue
+        end = min(n, i + 4096)
+        k = i + 3
+        while k < end and argb[k] == argb[k - i + j]:
+            k += 1
+        out.append((i, k - i, i - j))
+        for m in range(i + 1, min(k, n - 2)):
+            last[argb[m], argb[m + 1], argb[m + 2]] = m
+        i = k
+    return out
+
+
+CACHE_SIZES = (0, 6, 10)
+
+
+def _cache_hits(argb: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slot of every pixel, and whether the cache holds it there when its turn comes."""
+    slot = (np.uint64(CACHE_FACTOR) * argb.astype(np.uint64) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - bits)
+    order = np.argsort(slot, kind="stable")
+    hit = np.zeros(len(argb), bool)
+    hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (argb[order[1:]] == argb[order[:-1]])
+    return slot.astype(np.int64), hit
+
+
+def _put_image(out: Writer, image: np.ndarray, top: bool) -> np.ndarray:
+    """Write the head of an entropy-coded image; the bits of its pixels."""
+    width, argb = image.shape[1], image.ravel()
+    copies = _copies(argb.tolist())
+    literal = np.ones(len(argb), bool)
+    for at, n, _ in copies:
+        literal[at : at + n] = False
+    at = np.flatnonzero(literal)
+    near: dict[int, int] = {}
+    for k, (x, y) in enumerate(NEIGHBOURS):
+        near.setdefault(max(1, x + y * width), k + 1)
+    lengths = [_prefix(n) for _, n, _ in copies]
+    distances = [_prefix(near.get(d, d + len(NEIGHBOURS))) for _, _, d in copies]
+    references = np.bincount([256 + p for p, _, _ in lengths] or [0], minlength=256 + LENGTH_CODES) * bool(copies)
+    best = None
+    for bits in CACHE_SIZES:
+        slot, hit = _cache_hits(argb, bits) if bits else (None, np.zeros(len(argb), bool))
+        plain, hits = argb[at[~hit[at]]], at[hit[at]]
+        a, r, g, b = (np.bincount(c, minlength=256) for c in _split(plain))
+        green = np.zeros(256 + LENGTH_CODES + (1 << bits if bits else 0), np.int64)
+        green[: 256 + LENGTH_CODES] = references
+        green[:256] += g
+        if bits:
+            green[256 + LENGTH_CODES :] = np.bincount(slot[hits], minlength=1 << bits)
+        cost = sum(map(_cost, (green, r, b, a)))
+        if best is None or cost < best[0]:
+            best = cost, bits, slot, hit, (green, r, b, a)
+    _, bits, slot, hit, counts = best
+    out.put(int(bits > 0), 1)
+    if bits:
+        out.put(bits, 4)
+    if top:
+        out.put(0, 1)  # one group of codes
+    codes = [_put_code(out, c) for c in counts]
+    codes.append(_put_code(out, np.bincount([p for p, _, _ in distances] or [0], minlength=DISTANCE_CODES)))
+    # Four parts a literal or reference, one row a pixel; rows inside references stay empty.
+    value, size = np.zeros((len(argb), 4), np.int64), np.zeros((len(argb), 4), np.int64)
+    plain, hits = at[~hit[at]], at[hit[at]]
+    a, r, g, b = _split(argb[plain])
+    for k, c in enumerate((g, r, b, a)):
+        value[plain, k], size[plain, k] = codes[k][0][c], codes[k][1][c]
+    if len(hits):
+        symbol = 256 + LENGTH_CODES + slot[hits]
+        value[hits, 0], size[hits, 0] = codes[0][0][symbol], codes[0][1][symbol]
+    for (i, _, _), (p, x, n), (q, y, m) in zip(copies, lengths, distances, strict=True):
+        value[i] = codes[0][0][256 + p], x, codes[4][0][q], y
+        size[i] = codes[0][1][256 + p], n, codes[4][1][q], m
+    value, size = value.ravel(), size.ravel()
+    offset = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return (np.repeat(value, size) >> offset & 1).astype(np.uint8)
+
+
+def _put_part(out: Writer, image: np.ndarray) -> None:
+    """Write the whole image of a transform's data."""
+    flat = _put_image(out, image, False)
+    out.put(int.from_bytes(np.packbits(flat, bitorder="little").tobytes(), "little"), len(flat))
+
+
+def _transforms(image: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray | int | None]]:
+    """Transforms that might pay: kind, the image after it, and its data."""
+    a, r, g, b = _split(image)
+    out = [(SUBTRACT_GREEN, _join(a, r - g, g, b - g), None)]
+    for mode in (1, 2):
+        before = np.full_like(image, BLACK)
+        before[:, 1:] = image[:, :-1]
+        below = slice(None) if mode == 2 else slice(0, 1)
+        before[1:, below] = image[:-1, below]
+        out.append((PREDICTOR, _join(*(x - y for x, y in zip(_split(image), _split(before), strict=True))), mode))
+    signed = lambda c: (c - 256 * (c > 127)).astype(np.float64)
+    x = signed(g) - signed(g).mean()
+    slopes = [int(np.clip(np.rint(32 * (x * signed(c)).sum() / max(1.0, (x * x).sum())), -128, 127)) for c in (r, b)]
+    to_red, to_blue = slopes
+    element = np.uint32(BLACK | (to_blue & 255) << 8 | to_red & 255)
+    deltas = [colour_delta(np.int32(t), g) for t in slopes]
+    out.append((CROSS_COLOUR, _join(a, r - deltas[0], g, b - deltas[1]), element))
+    colours = np.unique(image)
+    if len(colours) <= 256:
+        k = 3 if len(colours) <= 2 else 2 if len(colours) <= 4 else 1 if len(colours) <= 16 else 0
+        index = np.searchsorted(colours, image).astype(np.uint32)
+        width = image.shape[1]
+        packed = np.zeros((len(image), -(-width // (1 << k))), np.uint32)
+        for i in range(width):
+            packed[:, i >> k] |= index[:, i] << np.uint32((8 >> k) * (i & ((1 << k) - 1)))
+        out.append((PALETTE, np.uint32(BLACK) | packed << np.uint32(8), colours))
+    return out
+
+
+def _encode_entropy(samples: np.ndarray) -> bytes:
+    """A stream of samples with the transform, references, cache and codes that suit them."""
+    height, width, _ = samples.shape
+    r, g, b, a = (samples[..., k].astype(np.int32) for k in range(4))
+    image = _join(a, r, g, b)
+    out = Writer()
+    out.put(0x2F, 8)
+    out.put(width - 1, 14)
+    out.put(height - 1, 14)
+    out.put(1, 1)
+    out.put(0, 3)
+    options = [(_literal_cost(now) + 32 * (len(data) if kind == PALETTE else 1), kind, now, data) for kind, now, data in _transforms(image)]
+    cost, kind, now, data = min(options, key=lambda o: o[0])
+    if cost < _literal_cost(image):
+        image = now
+        out.put(1, 1)
+        out.put(kind, 2)
+        if kind == PALETTE:
+            out.put(len(data) - 1, 8)
+            deltas = _join(*(np.diff(c, prepend=0) for c in _split(data)))
+            _put_part(out, deltas[None, :])
+        elif kind != SUBTRACT_GREEN:
+            out.put(7, 3)
+            value = np.uint32(BLACK | data << 8) if kind == PREDICTOR else data
+            _put_part(out, np.full((-(-height // 512), -(-width // 512)), value, np.uint32))
+    out.put(0, 1)
+    body = _put_image(out, image, True)
+    lead = np.unpackbits(np.frombuffer(out.value.to_bytes(-(-out.n // 8), "little"), np.uint8), bitorder="little")[: out.n]
+    return np.packbits(np.concatenate([lead, body]), bitorder="little").tobytes()
+
+
+def encode(samples: np.ndarray) -> bytes:
+    """A lossless WebP file of samples (height, width, RGBA), in the smaller of the two ways to write it."""
+    stream = min(_encode_entropy(samples), _encode_fixed(samples), key=len)
     padded = stream + b"\0" * (len(stream) & 1)
     chunk = b"VP8L" + len(stream).to_bytes(4, "little") + padded
     return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk
