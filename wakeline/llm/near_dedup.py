@@ -9,21 +9,26 @@ the number that agree is concentrated as for independent ones, at a cost of |set
 Bands of coordinates send equal-looking sets to the same bucket. Within buckets, links are verified on
 whole sets. Copies with equal sets are one class from the start. Every class is first compared with its
 leader, the class of its buckets that meets the most others; in a large group of copies that is the
-text they come from, and most of the group is one component after this. What is left is exact too:
-classes of one leader can only be linked if they share one of the first shingles of their sets, in an
-order that puts the shingles the leader lacks first, and the rarest of them before others. So far copies
-of a hot text meet hardly anything. Classes of different leaders are compared if they share a bucket. Links inside a
-component can't change the result, so none is lost to this, and no group is expanded into all its pairs.
+text they come from, and most of the group is one component after this. A bucket that still holds
+several components gets one representative, the leader most of its classes have; the others are compared
+with it too. What is left meets by an index on shingles, in an order that puts those the representative
+lacks first, and the rarest of them before others: sets that are linked share one of the first. Two
+bitmaps a class, of the representative's shingles it lacks and of those it adds, bound what two classes
+can have in common, so that copies of a hot text that were changed in different places never become a
+pair. Links inside a component can't change the result, so none is lost to this, and no group is
+expanded into all its pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import operator
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read_table, small_batches, text_of, written
@@ -137,41 +142,54 @@ def _with_class(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"cid": cids, "text": pdf["text"]})
 
 
-def first_shingles(x: np.ndarray, leader: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int, int]:
-    """Shingles of x that the leader lacks, some that it has, the number of the former, and how many count.
+def first_shingles(x: np.ndarray, leader: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int, int, np.ndarray]:
+    """Shingles of x that the leader lacks, some that it has, the number of the former, how many count, and what x lacks.
 
     Sets that are linked share percent of the larger one. In any order common to both, the first shared
-    shingle lies among the first n - percent * n + 1 of each, the last number returned. The order puts
-    those not in the leader first, so that only as many of the others are needed as are missing.
+    shingle lies among the first n - percent * n + 1 of each. The order puts those not in the leader
+    first, so that only as many of the others are needed as are missing.
     """
     inside = np.isin(x, leader, assume_unique=True)
     need = len(x) - -(-percent * len(x) // 100) + 1
-    out = x[~inside]
-    return np.concatenate([out, x[inside][: max(0, need - len(out))]]), len(out), need
+    out, both = x[~inside], x[inside]
+    lost = np.setdiff1d(leader, both, assume_unique=True)
+    return np.concatenate([out, both[: max(0, need - len(out))]]), len(out), need, lost
+
+
+#: 64-bit words of a bitmap of shingles.
+MAP_WORDS = 4
+
+
+def bitmap(items: np.ndarray) -> list[int]:
+    """Which of 64 * MAP_WORDS numbers the shingles' hashes have as remainder, as signed 64-bit words."""
+    flat = np.zeros(64 * MAP_WORDS, np.uint8)
+    flat[(items % np.uint64(64 * MAP_WORDS)).astype(np.int64)] = 1
+    return np.packbits(flat, bitorder="little").view(np.int64).tolist()
+
+
+TESTED = "a long, b long, ok boolean, n_a int, n_b int, firsts array<long>, outside int, need int, lost array<long>, new array<long>"
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes, sets = WordHashes(), {}
     for pdf in batches:
-        ok, firsts = [], []
-        for a, x, y in zip(pdf["a"], pdf["text_a"], pdf["text_b"], strict=True):
+        out = []
+        for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["text_a"], pdf["text_b"], strict=True):
             if a not in sets:
                 if len(sets) >= 64:
                     sets.clear()
                 sets[a] = shingles(x, hashes)
-            own = shingles(y, hashes)
-            ok.append(similar(sets[a], own))
-            found, out, need = first_shingles(own, sets[a])
-            firsts.append((found.view(np.int64), out, need))
-        columns = dict(zip(("firsts", "outside", "need"), zip(*firsts, strict=True), strict=True)) if firsts else {"firsts": [], "outside": [], "need": []}
-        yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "ok": ok, **columns})
+            own, whole = shingles(y, hashes), sets[a]
+            found, outside, need, lost = first_shingles(own, whole)
+            out.append((a, b, similar(whole, own), len(whole), len(own), found.view(np.int64), outside, need, bitmap(lost), bitmap(found[:outside])))
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in TESTED.split(", ")])
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, ok) of pairs, from whole texts (cid, text), and the first shingles of b towards a."""
+    """TESTED of pairs (a, b), from whole texts (cid, text): b as seen from a."""
     of = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"text_{x}"))
     joined = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInPandas(_verified, "a long, b long, ok boolean, firsts array<long>, outside int, need int")
+    return joined.mapInPandas(_verified, TESTED)
 
 
 #: Links up to this many are joined by one task where the caller allows it; more by distributed union-find.
@@ -184,11 +202,24 @@ def components_of(links: DataFrame, n_links: int, native: bool) -> DataFrame:
     return few_components(links) if few else connected_components(links)
 
 
+def _most(x: str, y: str) -> Column:
+    """The most shingles that two classes of one representative can share.
+
+    Of the representative's they share what neither lacks; bits of both maps together count at least as
+    many as are lacking. Of the rest, bits that only one map has count shingles the other has not.
+    """
+    bits = lambda column, other, f: reduce(operator.add, (F.bit_count(f(F.col(column)[k], F.col(other)[k])) for k in range(MAP_WORDS)))
+    gone = bits(f"lost_{x}", f"lost_{y}", lambda p, q: p.bitwiseOR(q))
+    alone = lambda s, t: F.col(f"outside_{s}") - bits(f"new_{s}", f"new_{t}", lambda p, q: p.bitwiseAND(F.bitwise_not(q)))
+    inside = F.least(F.col(f"n_a_{x}") - gone, F.col(f"inside_{x}"), F.col(f"inside_{y}"))
+    return inside + F.when(F.col(f"own_{x}"), F.lit(0)).otherwise(F.least(alone(x, y), alone(y, x)))
+
+
 def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT, native: bool = False) -> tuple[DataFrame, int]:
     """All verified links (a, b) that matter for the components of the classes in ``buckets``, and their number.
 
-    buckets: key, cid, n (size of the class's set), others (other rows in the bucket). verify turns pairs
-    (a, b) into (a, b, ok, firsts, outside, need). native keeps to DataFrame operations.
+    buckets: key, cid, others (other rows in the bucket). verify turns pairs (a, b) into TESTED.
+    native keeps to DataFrame operations.
     """
     c = F.col
     key = Window.partitionBy("key")
@@ -199,36 +230,39 @@ def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     tested = written(verify(leaders.select(c("h.cid").alias("a"), c("cid").alias("b"))), "tested")
     near = tested.where((c("a") != c("b")) & c("ok")).select("a", "b")
     n_near = near.count()
-    parts = components_of(near, n_near, native).select(c("node").alias("cid"), "component")
-    led = tested.select(c("b").alias("cid"), c("a").alias("leader")).join(parts, "cid", "left").join(
-        parts.select(c("cid").alias("leader"), c("component").alias("leader_comp")), "leader", "left"
-    )
-    led = led.select("cid", "leader", F.coalesce("component", "cid").alias("comp"), F.coalesce("leader_comp", "leader").alias("leader_comp"))
-    rows = buckets.join(led, "cid").withColumn("lo", F.min("comp").over(key)).withColumn("hi", F.max("comp").over(key))
-    rows = written(rows.where("lo != hi").select("key", "cid", "n", "comp", "leader", "leader_comp"), "unresolved")
-    fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
-    side = lambda df, s, *on: df.select(*on, *(c(x).alias(f"{x}_{s}") for x in ("cid", "n", "comp")))
-    ends = [F.least("cid_x", "cid_y").alias("a"), F.greatest("cid_x", "cid_y").alias("b")]
-    # Different leaders, one bucket: one of the two is not led by the bucket's most frequent leader.
-    count = F.count("*").over(Window.partitionBy("key", "leader"))
-    heads = rows.withColumn("c", count).withColumn("main", F.max(F.struct(c("c"), c("leader"))).over(key)["leader"])
-    odd = side(heads.where(c("leader") != c("main")), "x", "key", c("leader").alias("leader_x"))
-    across = odd.join(side(rows, "y", "key", c("leader").alias("leader_y")), "key").where((c("leader_x") != c("leader_y")) & (c("comp_x") != c("comp_y")) & fit)
-    # One leader: one of the two is not in the leader's component.
-    members = rows.select("cid", "n", "comp", "leader", "leader_comp").distinct()
-    # First the shingles that the leader lacks, the rarest of its classes' before others, then its own.
-    listed = members.join(tested.select(c("b").alias("cid"), "firsts", "outside", "need"), "cid")
-    listed = listed.select(*members.columns, "outside", "need", F.posexplode("firsts").alias("at", "g"))
-    own = c("at") >= c("outside")
-    rarity = F.when(own, F.lit(0)).otherwise(F.count("*").over(Window.partitionBy("leader", "g")))
-    place = F.row_number().over(Window.partitionBy("cid").orderBy("own", "rarity", "g"))
-    firsts = listed.withColumn("own", own).withColumn("rarity", rarity).withColumn("place", place).where(c("place") <= c("need"))
-    far = side(firsts.where(c("comp") != c("leader_comp")), "x", "leader", "g")
-    within = far.join(side(firsts, "y", "leader", "g"), ["leader", "g"]).where((c("comp_x") != c("comp_y")) & fit)
-    pairs = across.select(*ends).unionByName(within.select(*ends)).distinct()
-    seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = written(verify(pairs.join(seen, ["a", "b"], "left_anti")).select("a", "b", "ok"), "tested").where("ok").select("a", "b")
-    return near.unionByName(more), n_near + more.count()
+    parts = written(components_of(near, n_near, native).select(c("node").alias("cid"), "component"), "parts")
+    led = tested.select(c("b").alias("cid"), c("a").alias("leader")).join(parts, "cid", "left")
+    led = led.select("cid", "leader", F.coalesce("component", "cid").alias("comp"))
+    rows = buckets.select("key", "cid").join(led, "cid").withColumn("lo", F.min("comp").over(key)).withColumn("hi", F.max("comp").over(key))
+    rows = written(rows.where("lo != hi").select("key", "cid", "comp", "leader"), "unresolved")
+    # One representative a bucket: the leader that most of its classes have.
+    main = rows.groupBy("key", "leader").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "leader"))["leader"].alias("a"))
+    members = written(rows.select("key", c("cid").alias("b"), "comp").join(main, "key").select("a", "b", "comp").distinct(), "members")
+    fresh = members.select("a", "b").join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    again = written(verify(fresh), "tested")
+    both = tested.unionByName(again)
+    # A class is settled in a group if it is linked to the representative, or in its component anyway.
+    of_main = parts.select(c("cid").alias("a"), c("component").alias("comp_a"))
+    listed = members.join(both, ["a", "b"]).join(of_main, "a", "left").withColumn("far", ~c("ok") & (c("comp") != F.coalesce("comp_a", "a")))
+    listed = written(listed.withColumn("inside", c("n_b") - c("outside")).drop("ok", "comp_a"), "listed")
+    facts = ("b", "comp", "n_a", "n_b", "inside", "outside", "lost", "new", "own")
+    firsts = listed.select("a", "need", "far", *facts[:-1], F.posexplode("firsts").alias("at", "g")).withColumn("own", c("at") >= c("outside"))
+    # First the shingles that the representative lacks, the rarest in its group before others, then its own.
+    # Two classes that share none of the former need enough of the latter for a link.
+    firsts = firsts.where(~c("own") | (100 * c("inside") >= percent * c("n_b")))
+    rarity = firsts.where(~c("own")).groupBy("a", "g").agg(F.count("*").alias("rarity"))
+    place = F.row_number().over(Window.partitionBy("a", "b").orderBy("own", "rarity", "g"))
+    firsts = firsts.join(rarity, ["a", "g"], "left").withColumn("place", place).where(c("place") <= c("need"))
+    side = lambda df, s: df.select("a", "g", *(c(x).alias(f"{x}_{s}") for x in facts))
+    fit = (100 + percent) * _most("x", "y") >= percent * (c("n_b_x") + c("n_b_y"))
+    other = (c("comp_x") != c("comp_y")) & (100 * F.least("n_b_x", "n_b_y") >= percent * F.greatest("n_b_x", "n_b_y"))
+    on = (c("l.a") == c("r.a")) & (c("l.g") == c("r.g")) & other & fit
+    pairs = side(firsts.where("far"), "x").alias("l").join(side(firsts, "y").alias("r"), on)
+    pairs = pairs.select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
+    seen = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = written(verify(pairs.join(seen, ["a", "b"], "left_anti")).where("ok").select("a", "b"), "more")
+    found = near.unionByName(again.where("ok").select("a", "b")).unionByName(more)
+    return found, n_near + again.where("ok").count() + more.count()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -244,12 +278,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", text_of().alias("text")).withColumn("th", F.xxhash64("text"))
     rows = written(docs.mapInPandas(_sketched, "doc_id long, th long, cid long, n_shingles long, keys array<long>"), "sketches")
     classes = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
+        F.first("keys").alias("keys")
     )
-    exploded = classes.select("cid", "n", F.explode("keys").alias("key"))
+    exploded = classes.select("cid", F.explode("keys").alias("key"))
     by_key = Window.partitionBy("key")
     shared = exploded.withColumn("others", F.count("*").over(by_key) - 1).where("others > 0")
-    buckets = written(shared.select("key", "cid", "n", "others"), "buckets")
+    buckets = written(shared.select("key", "cid", "others"), "buckets")
     # A class's text is looked up by the hash of a text of its least row, which rows without a doc_id have too.
     row = F.coalesce("doc_id", F.lit(2**63 - 1))
     heads = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("head"), F.min(row).alias("row"), F.min_by("th", row).alias("th"))
