@@ -83,11 +83,14 @@ def tokenizer():
     return tokenizers.Tokenizer.from_file(bpe.default_path())
 
 
-def agree(tokenizer, text):
+def agree(tokenizer, text, block=None):
     of = bpe.transducer(bpe.default_path())
-    ids = np.frombuffer(of.encode(text), "<u4").tolist()
-    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
-    assert "".join(of.decode(ids)) == tokenizer.decode(ids, skip_special_tokens=False)
+    ids = of.encode(text) if block is None else b"".join(of.stream(bpe.blocks_of(text, block)))
+    as_list = np.frombuffer(ids, "<u4").tolist()
+    assert as_list == tokenizer.encode(text, add_special_tokens=False).ids
+    assert "".join(of.decode([ids])) == tokenizer.decode(as_list, skip_special_tokens=False)
+    cut = 4 * (len(as_list) // 2)
+    assert "".join(of.decode([ids[:cut], ids[cut:]])) == "".join(of.decode([ids]))
 
 
 @pytest.mark.parametrize("text", ["", " ", "a", "  a  b ", "x\n y", "\x85a\x1cb", "<|endoftext|>a <|endoftext|>", "é" * 6000, "=" * 20000, "the" * 5000, "don't I'LL", "日本語 😀 ½²"])
@@ -101,12 +104,38 @@ def test_bpe_matches_the_library(tokenizer, text):
     agree(tokenizer, text)
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.lists(st.sampled_from(["th", "er", "ion", "ab", "=", "_", "  "]), min_size=1000, max_size=4000), st.integers(1, 700))
-def test_streamed_tokens_are_those_of_the_whole(parts, step):
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["th", "er ", "ion", " ab", "=", "__", "  ", "\n", "1", "23 ", "'re", "'s", "<|endoftext|>", "<|endo", "日", "\xa0", "s", "'"]), max_size=120), st.integers(1, 9), st.sampled_from([8, 12, 40]))
+def test_small_blocks_give_the_same_ids(tokenizer, parts, step, size):
+    """Blocks and buffers of a few characters: all ways to cut a text are taken."""
+    before, bpe.BLOCK = bpe.BLOCK, size
+    try:
+        agree(tokenizer, "".join(parts), step)
+    finally:
+        bpe.BLOCK = before
+
+
+@pytest.mark.parametrize("unit", ["ab", "=", "_", "é", "7", "  ", "\n", " x", "the", "a1"])
+def test_buffers_stay_bounded(tokenizer, unit):
+    """However long a text or a pre-token is, no buffer holds more than a few blocks and the lookahead."""
     of = bpe.transducer(bpe.default_path())
-    data = "".join(parts).encode()
-    assert list(of.stream(data[i : i + step] for i in range(0, len(data), step))) == of.merge(data)
+    text, most = unit * (60_000 // len(unit)), 0
+    merge, of.merge = of.merge, lambda data: note(len(data)) or merge(data)
+
+    def note(n):
+        nonlocal most
+        most = max(most, n)
+
+    try:
+        agree(tokenizer, text)
+    finally:
+        del of.merge
+    assert most <= 4 * bpe.BLOCK + of.lookahead
+
+
+def test_improper_merge_lists_are_refused():
+    with pytest.raises(ValueError):
+        bpe.sufficient_lookahead([(b"ab", b"c"), (b"a", b"b")])
 
 
 def test_documents_are_encoded(edge_docs, clashing_docs, empty_docs, tokenizer):
