@@ -1,7 +1,8 @@
 """Cleaning: valid identities, country and code lookups, sentinels decoded, times parsed.
 
-Lookups are left joins with broadcast dictionaries, on batches and on streams alike. They come after
-the filter, so the plan is scan, filter, hash joins and one projection without any shuffle.
+Lookups are left joins with dictionaries, on batches and on streams alike. They come after the filter.
+Spark sends a dictionary to all executors where it is below its threshold for that, as those of code
+ranges are; the plan is then scan, filter, hash joins and one projection without any shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from wakeline.functions import decode
 def lookup(df: DataFrame, dictionary: DataFrame, key: str, code: str, name: str, alias: str) -> DataFrame:
     """Add ``alias``: the dictionary's name of the code in ``key``; null where it has none."""
     side = dictionary.select(F.col(code).alias("_code"), F.col(name).alias(alias))
-    return df.join(F.broadcast(side), F.col(key) == F.col("_code"), "left").drop("_code")
+    return df.join(side, F.col(key) == F.col("_code"), "left").drop("_code")
 
 
 def position_reports(raw: DataFrame, countries: DataFrame, nav_status: DataFrame) -> DataFrame:

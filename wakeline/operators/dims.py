@@ -45,5 +45,5 @@ def times(spark: SparkSession) -> DataFrame:
 def stations(reports: DataFrame, bound: object = None) -> DataFrame:
     """The last report of every base station, of those from ``bound`` on."""
     recent = reports if bound is None else reports.where(F.col("recorded_time") >= F.lit(bound))
-    w = Window.partitionBy("mmsi").orderBy(F.col("recorded_time").desc_nulls_last())
+    w = Window.partitionBy("mmsi").orderBy(F.col("recorded_time").desc_nulls_last(), F.xxhash64(*STATION_COLUMNS))  # ties by a fixed rule
     return recent.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*STATION_COLUMNS)

@@ -73,21 +73,21 @@ def as_of(pings: DataFrame, static: DataFrame) -> DataFrame:
 
 def latest_by_key(rows: DataFrame, now: Column | None = None) -> DataFrame:
     """The last row of each vessel with the time it expires at; expired rows are left out if ``now`` is given."""
-    w = Window.partitionBy("mmsi").orderBy(F.col("recorded_time").desc_nulls_last())
+    w = Window.partitionBy("mmsi").orderBy(F.col("recorded_time").desc_nulls_last(), F.xxhash64(*rows.columns))  # ties by a fixed rule
     last = rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     out = last.withColumn("expires_at", F.col("recorded_time") + F.make_dt_interval(secs=F.lit(TTL_SECONDS)))
     return out if now is None else out.where(F.col("expires_at") > now)
 
 
 def search(rows: DataFrame, ranges: dict[str, tuple[float, float]] | None = None, tags: dict[str, str] | None = None, text: dict[str, str] | None = None, limit: int = MAX_RESULTS) -> DataFrame:
-    """Rows inside numeric ranges, with equal tags, and with texts that hold a word, in any case."""
+    """Rows inside numeric ranges, with equal tags, and with texts that hold a word, in any case; the first ``limit`` by vessel and time."""
     for name, (low, high) in (ranges or {}).items():
         rows = rows.where(F.col(name).between(low, high))
     for name, value in (tags or {}).items():
         rows = rows.where(F.col(name) == value)
     for name, word in (text or {}).items():
         rows = rows.where(F.lower(F.col(name)).contains(word.lower()))
-    return rows.limit(limit)
+    return rows.orderBy(*[c for c in ("mmsi", "recorded_time") if c in rows.columns]).limit(limit)
 
 
 def live_stations(stations: DataFrame) -> DataFrame:

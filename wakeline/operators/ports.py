@@ -32,9 +32,9 @@ def flatten(elements: DataFrame) -> DataFrame:
     """port_id, name and geometry_json of every way that has points, each once.
 
     Ways in a relation take its name and come before standalone ways; of several, the first zone's,
-    then the first element's counts. ``elements``: zone, type, id, tags, geometry, members.
+    then the first element's counts, by its id. ``elements``: zone, type, id, tags, geometry, members.
     """
-    placed = elements.withColumn("_n", F.monotonically_increasing_id())
+    placed = elements.withColumn("_n", F.col("id"))
     name = F.coalesce(F.col("tags")["name"], F.lit(""))
     members = placed.where("type = 'relation'").select("zone", F.lit(0).alias("kind"), "_n", name.alias("name"), F.posexplode("members").alias("pos", "m"))
     members = members.where("m.type = 'way'").select("zone", "kind", "_n", "pos", F.col("m.ref").alias("way"), "name", F.col("m.geometry").alias("geometry"))

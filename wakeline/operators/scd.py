@@ -36,7 +36,17 @@ def holds_at(at: Column, valid_from: Column, valid_to: Column) -> Column:
 
 
 def join_version(left: DataFrame, version: DataFrame, at: str) -> DataFrame:
-    """Left rows with the version that holds at their time as struct ``v``; null where there is none."""
-    side = version.select(F.col("mmsi").alias("_mmsi"), F.struct(*[c for c in version.columns if c != "mmsi"]).alias("v"))
-    on = (F.col("mmsi") == F.col("_mmsi")) & holds_at(F.col(at), F.col("v.valid_from"), F.col("v.valid_to"))
-    return left.join(side, on, "left").drop("_mmsi")
+    """Left rows with the version that holds at their time as struct ``v``; null where there is none.
+
+    Both sides are laid into one sequence a vessel, in which the last version is carried forward: one
+    shuffle and one sort, however many versions a vessel has. Versions of a vessel don't overlap.
+    """
+    names = [c for c in version.columns if c != "mmsi"]
+    holds = version.where(F.col("mmsi").isNotNull() & F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+    nothing = lambda df, columns: F.lit(None).cast(df.select(F.struct(*columns)).schema[0].dataType)
+    a = holds.select("mmsi", F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), F.struct(*names).alias("_v"), nothing(left, left.columns).alias("_row"))
+    b = left.select("mmsi", F.col(at).alias("_at"), F.lit(1).alias("_side"), nothing(version, names).alias("_v"), F.struct(*left.columns).alias("_row"))
+    w = Window.partitionBy("mmsi").orderBy(F.col("_at").asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = a.unionByName(b).withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_side = 1")
+    fits = F.col("mmsi").isNotNull() & holds_at(F.col("_at"), F.col("_v.valid_from"), F.col("_v.valid_to"))
+    return carried.select("_row.*", F.when(fits, F.col("_v")).alias("v"))

@@ -1,18 +1,22 @@
 """The incremental modelling run: facts, versions, marts, dimensions, and the state last.
 
 State and watermark are read once at the start. All models are functions of DataFrames; this module
-only ties them to tables. A run that died is repeated under its name: appends are tied to the name and
-upserts to their keys, so nothing is added twice. A run that ended is not repeated.
+only ties them to tables. A run first notes the version of every table; whatever run comes after one that
+died puts these versions back before it begins, so that a run counts as a whole or not at all, wherever
+it was stopped. A run that ended is not repeated.
 """
 
 from __future__ import annotations
 
+import datetime
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline import schemas
 from wakeline.operators import dims, marts, scd, state, trips
-from wakeline.plans.materialize import Table, done
+from wakeline.plans.materialize import Files, Table
 
 FACT_PINGS = f"{schemas.LANDING_POSITION}, trip_id bigint"
 FACT_TRIPS = (
@@ -51,28 +55,46 @@ class Warehouse:
         self.ship_latest_state = t("ship_latest_state", schemas.STATE)
         self.dim_basestation = t("dim_basestation", STATIONS)
 
+    def all(self) -> dict[str, Table]:
+        return {k: v for k, v in vars(self).items() if isinstance(v, Table)}
+
     def dim_shipstatic_metadata(self) -> DataFrame:
         """The versions, always computed from the present changes."""
         return scd.versions(self.ship_metadata_change.read())
 
 
+def _begin(tables: Warehouse, runs: Files, run_id: str) -> bool:
+    """Undo what a run that died has published, and note where this one starts; False if it has ended before."""
+    found = runs.read("_open")
+    if found is not None:
+        left = json.loads(found)
+        if runs.read(left["run"]) is None:
+            for name, version in left["versions"].items():
+                tables.all()[name].restore(version)
+        runs.drop("_open")
+    if runs.read(run_id) is not None:
+        return False
+    if not runs.put("_open", json.dumps({"run": run_id, "versions": {k: t.version() for k, t in tables.all().items()}})):
+        raise OSError(f"{runs.path}: another run is open")
+    return True
+
+
 def run_batch(
     tables: Warehouse, positions: DataFrame, static: DataFrame, stations: DataFrame, run_id: str, delay_days: int = 2, full_refresh: bool = False
 ) -> None:
     """One run over the landing tables. A full refresh starts without state and rebuilds everything."""
-    spark = tables.spark
-    marker = f"{tables.root}/_runs/{run_id}"
-    if done(spark, marker):
+    spark, runs = tables.spark, Files(tables.spark, f"{tables.root}/_runs")
+    if not _begin(tables, runs, run_id):
         return
     fresh = full_refresh or not tables.ship_latest_state.exists()
     before = trips.no_state(spark) if fresh else tables.ship_latest_state.read()
     mark = None if fresh else state.watermark(before)
+    first = None if mark is None else (mark - datetime.timedelta(days=delay_days + 1)).date()  # a day more, whatever the time zone
     if full_refresh:
-        for t in (tables.fact_position_reports, tables.fact_ship_trips, tables.ship_metadata_change, tables.mart_trips, tables.mart_position_pings, tables.ship_latest_state, tables.dim_basestation):
-            if t.exists():
-                t.rebuild(spark.createDataFrame([], t.schema))
+        for t in tables.all().values():
+            t.rebuild(spark.createDataFrame([], t.schema))
     tables.fact_position_reports.append(trips.segment(positions, before, mark, delay_days), run_id)
-    facts = tables.fact_position_reports.read()
+    facts = tables.fact_position_reports.read(first)
     tables.fact_ship_trips.upsert(trips.trips(facts, before, mark, delay_days), ["mmsi", "trip_id"], unique=True)
     change = scd.changes(static, mark, delay_days)
     tables.ship_metadata_change.upsert(change, ["change_id"], [F.col("recorded_time"), F.xxhash64("call_sign", "destination", "eta")])
@@ -84,4 +106,7 @@ def run_batch(
     tables.dim_basestation.upsert(dims.stations(stations, bound), ["mmsi"], unique=True)
     new_state = state.latest(facts, tables.fact_ship_trips.read(), mark, delay_days)
     tables.ship_latest_state.upsert(new_state, ["mmsi"], unique=True)
-    done(spark, marker, mark=True)
+    runs.put(run_id, "")
+    runs.drop("_open")
+    for t in tables.all().values():
+        t.vacuum()

@@ -30,6 +30,7 @@ class LastVersion(StatefulProcessor):
         self.handle = handle
         self.versions = handle.getListState("versions", "at bigint, body string")
         self.waiting = handle.getListState("waiting", "at bigint, body string")
+        self.due = handle.getValueState("due", "at bigint")  # the one timer that is set, in ms
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
@@ -37,15 +38,29 @@ class LastVersion(StatefulProcessor):
                 part = pdf[pdf["side"] == side]
                 if len(part):
                     state.appendList([(int(a), b) for a, b in zip(part["at"], part["body"], strict=True)])
-            for at in pdf.loc[pdf["side"] == 1, "at"]:
-                self.handle.registerTimer(max(int(at) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+            pings = pdf.loc[pdf["side"] == 1, "at"]
+            if len(pings):
+                self._wake(int(pings.min()), timerValues)
         return iter(())
 
+    def _wake(self, at: int, timerValues) -> None:
+        """One timer a vessel: for its earliest waiting ping."""
+        when = max(at // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1)
+        due = self.due.get()[0] if self.due.exists() else None
+        if due is None or when < due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(when)
+            self.due.update((when,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         limit = timerValues.getCurrentWatermarkInMs() * 1000
+        self.due.clear()
         waiting = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[0]) if self.waiting.exists() else []
         ready, rest = [r for r in waiting if r[0] <= limit], [r for r in waiting if r[0] > limit]
         if not ready:
+            if rest:
+                self._wake(rest[0][0], timerValues)
             return
         known = sorted((tuple(r) for r in self.versions.get()), key=lambda r: r[0]) if self.versions.exists() else []
         out, k = [], -1
@@ -55,6 +70,7 @@ class LastVersion(StatefulProcessor):
             out.append((key[0], pd.Timestamp(at, unit="us"), body, known[k][1] if k >= 0 else None))
         if rest:
             self.waiting.put(rest)
+            self._wake(rest[0][0], timerValues)
         else:
             self.waiting.clear()
         older = [i for i, r in enumerate(known) if r[0] <= limit]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wakeline.operators import demux
+from wakeline.operators import demux, live
 from wakeline.plans.materialize import Table
 
 
@@ -49,11 +49,18 @@ def ingest(clean: DataFrame, path: str, checkpoint: str, name: str = "ingest", o
 
 
 def keep_latest(rows: DataFrame, table: Table, checkpoint: str, name: str = "live", once: bool = False) -> StreamingQuery:
-    """Upsert a stream by vessel; of several rows, and of the stored one, the latest stays."""
+    """Upsert a stream by vessel; of several rows, and of the stored one, the latest stays.
+
+    The stored table is read once for the times it knows and once for the rows that stay.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        both = batch.select(*table.read().columns).unionByName(table.read().join(batch.select("mmsi").distinct(), "mmsi", "left_semi").select(*table.read().columns))
-        table.upsert(both, ["mmsi"], [F.col("recorded_time").desc_nulls_last()])
+        stored = table.read()
+        last = live.latest_by_key(batch.select(*stored.columns)).drop("expires_at")
+        known = stored.select("mmsi", F.col("recorded_time").alias("_known"))
+        newer = last.join(known, "mmsi", "left").where(F.col("_known").isNull() | (F.col("recorded_time") >= F.col("_known")))
+        table.upsert(newer.drop("_known"), ["mmsi"], unique=True)
+        table.vacuum()
 
     return _start(rows, name, checkpoint, each, once)
 
