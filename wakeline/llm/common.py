@@ -7,6 +7,7 @@ Everything an operator has to keep between two jobs goes to the folder named by
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 import uuid
 import zipfile
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
-#: Rows an Arrow batch holds. Texts reach 100 KB and more, so batches stay short.
-ARROW_ROWS = 256
+#: Rows and bytes an Arrow batch holds at most, whichever comes first; a row of more bytes is a batch of its own.
+ARROW_ROWS, ARROW_BYTES = 1024, 16 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,12 +31,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the Arrow batches of the Python operators, so that long texts fit in memory.
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the Python operators, alike for all of them, so that long texts fit in memory.
 
     Also sends this package to the executors, once an application: they need not have it installed.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         top = Path(__file__).resolve().parent.parent
@@ -48,14 +50,17 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all nodes share: the session's ``spark.checkpoint.dir``, or a fresh one in tests."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        where = found.get() if found.isDefined() else None
+    """The folder all nodes share: the session's ``spark.checkpoint.dir``, or its context's checkpoint folder.
+
+    Where neither is set, a new folder serves a session of one machine; a cluster has to name one.
+    """
+    set_in_context = spark.sparkContext._jsc.sc().getCheckpointDir()
+    where = spark.conf.get("spark.checkpoint.dir", None) or (set_in_context.get() if set_in_context.isDefined() else None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="wakeline-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if not set_in_context.isDefined():
         spark.sparkContext.setCheckpointDir(where)
     return where
 
@@ -64,12 +69,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: its lineage ends there.
 
     Lost executors cost no recomputation beyond this table, and a later reader sees the same rows
-    even where the plan above is not deterministic.
+    even where the plan above is not deterministic. Shuffle files of the plan above are let go.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/wakeline/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._wl_path = path
+    spark.sparkContext._jvm.System.gc()  # Spark drops shuffle files once the driver's garbage is collected
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` gave, after the last job that reads them."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._wl_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(name: str = "text") -> Column:

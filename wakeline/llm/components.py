@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 #: Rows of a file of links, and what is taken for their number before the first round.
@@ -59,7 +59,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.where(F.col("a") != F.col("b"))
     links = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    before = None
+    before, last = None, []
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_min_neighbour(both), "u").where(F.col("v") > F.col("u"))
@@ -71,6 +71,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # Small tables get few files, so that the next round's scan doesn't take a task for each shuffle partition.
         files = 1 + (before[0] if before else FIRST_ROWS) // ROWS_PER_FILE
         links = written(small.coalesce(files), "links")
+        discard(*last)
+        last = [links]
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break

@@ -1,18 +1,23 @@
-"""LM scoring with a hidden Markov language model over word classes.
+"""LM scoring with a hidden Markov language model.
 
-The model: a chain of latent states; each state emits a word class, each class its words. The TOP most
-frequent tokens are classes of their own, all others fall into SHAPES classes by length and ending.
-Inside a class a word has its add-one share of the class's training tokens. Baum-Welch sums expected
-counts over all training texts, in Spark, and a scaled forward recursion gives the exact likelihood of
-a whole text.
+The model: a chain of latent states, each of which emits words. Baum-Welch sums expected counts over
+all training texts, in Spark, and a scaled forward recursion gives the exact likelihood of a whole text.
+
+Training has two phases. First words are tied to classes, the TOP most frequent ones to one each, all
+others to SHAPES classes by length and ending: rounds of expectation settle what the states mean, until
+the likelihood gains less than GAIN or ROUNDS is reached, and exchange a few thousand numbers. Then
+every word of the training vocabulary is untied: expected counts of (word, state) are summed by word in a
+shuffle, and each state gets an emission probability for every training word. A word that training
+has not seen takes the share of words seen once, by shape.
 
 Long texts are exact too: texts are cut into blocks whose transfer matrices are multiplied in
 lockstep, so the recursion takes as many steps as a block has tokens, and the vectors at block borders
 come from products of whole blocks.
 
 Plan: one pass turns texts into chunks with a dictionary each. Only dictionary entries, at most one a
-word and chunk, are shuffled: to count words over the corpus and to bring the counts back. Texts
-never are, and no vocabulary is broadcast. Model parameters are TOP + SHAPES columns, whatever the corpus.
+word and chunk, are shuffled to be counted and to bring counts and emissions back; texts never
+are, and no vocabulary is broadcast. Words are told apart by 64-bit hashes from there on. What is
+gathered grows with the vocabulary of the corpus.
 """
 
 from __future__ import annotations
@@ -23,24 +28,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read_table, small_batches, text_of, written
+from .common import discard, held_out, read_table, small_batches, text_of, written
 
 HELD_OUT_OF = 7
-STATES, ROUNDS = 4, 3
+STATES, ROUNDS = 5, 5
+#: Rounds end when the likelihood's logarithm gains less than this share.
+GAIN = 0.0005
 TOP, SHAPES = 2000, 64
 CLASSES = TOP + SHAPES
 #: A chunk ends when it has so many bytes of text or so many documents.
 CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 4000
 BLOCK = 256
 SMOOTH = 0.01
+#: A state's emissions count as if the corpus's own shares had been seen in it so many times.
+PRIOR = 50.0
 END = b""  # no word is empty
 
-CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, tokens array<binary>, counts array<long>"
-SCORED = "ids array<long>, held array<boolean>, sizes array<int>, known array<long>, base array<double>, inner array<double>, classes binary"
+CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words array<long>, shapes array<tinyint>, counts array<long>"
 
 
 def tokenize(text: str | None) -> list[bytes]:
@@ -51,7 +60,7 @@ def tokenize(text: str | None) -> list[bytes]:
 
 
 def shape(token: bytes) -> int:
-    """The class among SHAPES of a token that is not among the most frequent ones."""
+    """The class among SHAPES of a token, by length and ending."""
     last = token[-1:]
     kind = 1 if last == b"." else 2 if last == b"," else 0 if token.isalpha() or max(token, default=0) > 127 else 3
     return min(max(len(token), 1), 16) * 4 - 4 + kind
@@ -67,6 +76,11 @@ def unsqueeze(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def word_hash(token: bytes) -> int:
+    x = xxhash.xxh3_64_intdigest(token)
+    return x - (1 << 64) if x >> 63 else x
+
+
 class _Codes(dict):
     def __missing__(self, token: bytes) -> int:
         self[token] = n = len(self)
@@ -86,6 +100,7 @@ def _chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trains = np.repeat(~np.asarray(held, bool), sizes)
         counts = np.bincount(codes[trains], minlength=len(book))
         words = list(book)
+        words = [words[k] for k in order.tolist()]
         return pd.DataFrame(
             {
                 "chunk": [(task << 32) + seq],
@@ -93,7 +108,8 @@ def _chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "held": [held],
                 "sizes": [sizes],
                 "codes": [squeeze(codes, "<u4")],
-                "tokens": [[words[k] for k in order.tolist()]],
+                "words": [[word_hash(w) for w in words]],
+                "shapes": [[shape(w) for w in words]],
                 "counts": [counts.tolist()],
             }
         )
@@ -120,35 +136,41 @@ class Lexicon:
 
     tokens: int  # N
     kinds: int  # V
-    top: dict[bytes, int]
+    top: np.ndarray  # hashes of the most frequent words, sorted
+    class_of: np.ndarray  # their classes
     class_tokens: np.ndarray
-    class_kinds: np.ndarray
-
-    def classes(self, tokens: list[bytes]) -> np.ndarray:
-        get = self.top.get
-        return np.fromiter((TOP + shape(t) if (c := get(t)) is None else c for t in tokens), np.int64, len(tokens))
+    once: np.ndarray  # words seen once, by shape
 
+    def classes(self, words: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+        """Class of every word, by its hash and shape."""
+        out = TOP + shapes.astype(np.int64)
+        if len(self.top):
+            at = np.searchsorted(self.top, words).clip(max=len(self.top) - 1)
+            hit = self.top[at] == words
+            out[hit] = self.class_of[at[hit]]
+        return out
 
-def build_lexicon(counts: DataFrame) -> Lexicon:
-    """From (token, c), c > 0."""
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    best = counts.orderBy(F.desc("c"), "token").limit(TOP).collect()
-    top = {bytes(r.token): k for k, r in enumerate(best)}
+    def unseen(self) -> np.ndarray:
+        """Probability of a word that training has not seen, by shape: the share of words seen once."""
+        share = min(0.5, (self.once.sum() + 1) / (self.tokens + 1))
+        return share * (self.once + 1) / (self.once + 1).sum()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        lexicon = Lexicon(0, 0, top, total, kinds)
-        for pdf in batches:
-            z = lexicon.classes([bytes(t) for t in pdf["token"]])
-            np.add.at(total, z, pdf["c"].to_numpy(np.int64))
-            np.add.at(kinds, z, 1)
-        held = np.flatnonzero(kinds)
-        yield pd.DataFrame({"z": held, "n": total[held], "v": kinds[held]})
 
-    total, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in counts.mapInPandas(run, "z long, n long, v long").groupBy("z").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        total[r.z], kinds[r.z] = r.n, r.v  # at most CLASSES rows
-    return Lexicon(int(n), int(v), top, total, kinds)
+def build_lexicon(counts: DataFrame) -> Lexicon:
+    """From (h, shape, c), c > 0."""
+    best = counts.orderBy(F.desc("c"), "h").limit(TOP).collect()
+    total, once = np.zeros(CLASSES), np.zeros(SHAPES)
+    n = v = 0
+    # At most SHAPES rows: a word of the most frequent ones is taken out of its shape below.
+    for r in counts.groupBy("shape").agg(F.sum("c").alias("c"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once")).collect():
+        total[TOP + r["shape"]], once[r["shape"]] = r["c"], r["once"]
+        n, v = n + r["c"], v + r["v"]
+    for k, r in enumerate(best):
+        total[k] = r["c"]
+        total[TOP + r["shape"]] -= r["c"]
+    top = np.array([r["h"] for r in best], np.int64)
+    order = np.argsort(top)
+    return Lexicon(int(n), int(v), top[order], order, total, once)
 
 
 @dataclass
@@ -159,29 +181,29 @@ class Hmm:
 
     @staticmethod
     def initial(lexicon: Lexicon) -> Hmm:
-        """Frequencies with a fixed random tilt a state, as equal states would stay equal."""
+        """Frequencies with a fixed random tilt a state, as equal states would stay equal; states tend to last."""
         rng = np.random.default_rng(11)
         tilt = np.exp(rng.normal(0, 0.5, (CLASSES, STATES)))
         emit = (lexicon.class_tokens[:, None] + SMOOTH) * tilt
-        step = np.exp(rng.normal(0, 0.3, (STATES, STATES)))
-        return Hmm(np.full(STATES, 1 / STATES), step / step.sum(1, keepdims=True), emit / emit.sum(0))
+        step = 0.9 * np.eye(STATES) + 0.1 / STATES
+        return Hmm(np.full(STATES, 1 / STATES), step, emit / emit.sum(0))
 
     @staticmethod
-    def from_counts(total: np.ndarray) -> Hmm:
-        """From expected counts: starts, steps and emissions in one vector."""
-        k = STATES
-        start, step, emit = total[:k] + SMOOTH, total[k : k + k * k].reshape(k, k) + SMOOTH, total[k + k * k :].reshape(CLASSES, k) + SMOOTH
+    def from_counts(start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> Hmm:
+        """From expected counts."""
+        start, step, emit = start + SMOOTH, step + SMOOTH, emit + SMOOTH
         return Hmm(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(0))
 
 
 class Blocks:
     """The texts of a chunk as blocks of up to BLOCK tokens, longest first, walked in lockstep.
 
-    The first token of a text belongs to no block: it starts the text's vector.
+    The first token of a text belongs to no block: it starts the text's vector. codes index the rows of
+    the emissions that the methods are given.
     """
 
-    def __init__(self, classes: np.ndarray, sizes: np.ndarray):
-        self.classes = classes
+    def __init__(self, codes: np.ndarray, sizes: np.ndarray):
+        self.codes = codes
         self.first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         rest = sizes - 1
         self.per_text = -(-rest // BLOCK)
@@ -202,7 +224,7 @@ class Blocks:
         m = np.broadcast_to(np.eye(k), (n, k, k)).copy()
         log = np.zeros(n)
         for t, live in enumerate(self.active):
-            x = (m[:live].reshape(-1, k) @ hmm.step).reshape(live, k, k) * hmm.emit[self.classes[self.at[:live] + t]][:, None, :]
+            x = (m[:live].reshape(-1, k) @ hmm.step).reshape(live, k, k) * hmm.emit[self.codes[self.at[:live] + t]][:, None, :]
             s = x.sum((1, 2))
             m[:live] = x / s[:, None, None]
             log[:live] += np.log(s)
@@ -210,7 +232,7 @@ class Blocks:
 
     def forward(self, hmm: Hmm, m: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log likelihood of each text, the vector before each block, and the last vector of each text."""
-        v = hmm.start * hmm.emit[self.classes[self.first]]
+        v = hmm.start * hmm.emit[self.codes[self.first]]
         s = v.sum(1)
         v /= s[:, None]
         like = np.log(s)
@@ -237,130 +259,160 @@ class Blocks:
             v[who] = x / x.sum(1, keepdims=True)
         return out, v
 
-    def expected(self, hmm: Hmm) -> np.ndarray:
-        """Expected counts of starts, steps and emissions over all texts: the E step of Baum-Welch."""
+    def expected(self, hmm: Hmm) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """Log likelihood and expected counts of starts, steps and emissions: the E step of Baum-Welch."""
         k = STATES
         m, log = self.transfer(hmm)
-        _, into, _ = self.forward(hmm, m, log)
+        like, into, _ = self.forward(hmm, m, log)
         after, after_first = self.backward(m)
         steps = np.zeros((k, k))
-        emit = np.zeros((CLASSES, k))
-
-        def add(z: np.ndarray, gamma: np.ndarray) -> None:
-            for s in range(k):
-                emit[:, s] += np.bincount(z, gamma[:, s], CLASSES)
-
-        first = hmm.start * hmm.emit[self.classes[self.first]] * after_first
+        gamma = np.empty((len(self.codes), k), np.float32)  # of every token
+        first = hmm.start * hmm.emit[self.codes[self.first]] * after_first
         first /= first.sum(1, keepdims=True)
-        add(self.classes[self.first], first)
+        gamma[self.first] = first
         alphas = [into]
         for t, live in enumerate(self.active):
-            x = (alphas[-1][:live] @ hmm.step) * hmm.emit[self.classes[self.at[:live] + t]]
+            x = (alphas[-1][:live] @ hmm.step) * hmm.emit[self.codes[self.at[:live] + t]]
             alphas.append(x / x.sum(1, keepdims=True))
         beta = after.copy()
         for t in range(len(self.active) - 1, -1, -1):
             live = self.active[t]
-            z = self.classes[self.at[:live] + t]
-            gamma = alphas[t + 1] * beta[:live]
-            add(z, gamma / gamma.sum(1, keepdims=True))
-            w = hmm.emit[z] * beta[:live]
+            here = self.at[:live] + t
+            both = alphas[t + 1] * beta[:live]
+            gamma[here] = both / both.sum(1, keepdims=True)
+            w = hmm.emit[self.codes[here]] * beta[:live]
             before = alphas[t][:live]
             back = w @ hmm.step.T
             norm = (before * back).sum(1)
             steps += hmm.step * ((before / norm[:, None]).T @ w)
             beta[:live] = back / back.sum(1, keepdims=True)
-        return np.concatenate([first.sum(0), steps.ravel(), emit.ravel()])
-
+        emit = np.stack([np.bincount(self.codes, gamma[:, s], len(hmm.emit)) for s in range(k)], 1)
+        return float(like.sum()), first.sum(0), steps, emit
 
-def _annotate(chunks: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """Chunks with the corpus's count of each dictionary entry, turned into base scores and classes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                c = np.asarray(r.found, np.float64)
-                codes, sizes = unsqueeze(r.codes, "<u4"), np.asarray(r.sizes, np.int64)
-                z = lexicon.classes([bytes(t) for t in r.tokens])
-                base = np.log10((c + 1) / (lexicon.tokens + lexicon.kinds + 1))
-                share = np.log((c + 1) / (lexicon.class_tokens[z] + lexicon.class_kinds[z] + 1))
-                inner = np.where((z < TOP), 0.0, share)
-                at = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-                total = lambda x: np.add.reduceat(x[codes], at).tolist()  # noqa: B023, E731
-                out.append((r.ids, r.held, r.sizes, total((c > 0).astype(np.int64)), total(base), total(inner), squeeze(z[codes], "<i2")))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in SCORED.split(", ")])
+@dataclass
+class Chunk:
+    """A row of the chunks, unpacked."""
 
-    return chunks.select("ids", "held", "sizes", "codes", "tokens", "found").mapInPandas(run, SCORED)
+    codes: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
+    shapes: np.ndarray
+    counts: np.ndarray
 
+    @staticmethod
+    def of(row: object) -> Chunk:
+        return Chunk(unsqueeze(row.codes, "<u4").astype(np.int64), np.asarray(row.sizes, np.int64), np.asarray(row.words, np.int64), np.asarray(row.shapes, np.int64), np.asarray(row.counts, np.int64))
 
-def _unpacked(row: object) -> tuple[np.ndarray, np.ndarray]:
-    return unsqueeze(row.classes, "<i2").astype(np.int64), np.asarray(row.sizes, np.int64)
+    def training(self, held: object) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and sizes of the texts to learn from."""
+        learn = ~np.asarray(held, bool)
+        return self.codes[np.repeat(learn, self.sizes)], self.sizes[learn]
 
 
-def baum_welch(scored: DataFrame, hmm: Hmm, rounds: int = ROUNDS) -> Hmm:
-    """Rounds of expectation over all training texts; counts meet in a shuffle of one row a parameter and task."""
+def baum_welch(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm, rounds: int = ROUNDS) -> Hmm:
+    """Rounds of expectation over all training texts with words tied to classes; counts meet in a shuffle."""
+    k, before = STATES, None
     for _ in range(rounds):
 
         def run(batches: Iterator[pd.DataFrame], hmm: Hmm = hmm) -> Iterator[pd.DataFrame]:
-            total = np.zeros(STATES * (1 + STATES + CLASSES))
+            total = np.zeros(1 + k * (1 + k + CLASSES))
             for pdf in batches:
                 for r in pdf.itertuples(index=False):
-                    z, sizes = _unpacked(r)
-                    learn = ~np.asarray(r.held, bool)
-                    if learn.any():
-                        total += Blocks(z[np.repeat(learn, sizes)], sizes[learn]).expected(hmm)
+                    chunk = Chunk.of(r)
+                    codes, sizes = chunk.training(r.held)
+                    if len(sizes):
+                        z = lexicon.classes(chunk.words, chunk.shapes)
+                        like, start, step, emit = Blocks(z[codes], sizes).expected(hmm)
+                        total += np.concatenate([[like], start, step.ravel(), emit.ravel()])
             at = np.flatnonzero(total)
             yield pd.DataFrame({"at": at, "x": total[at]})
 
-        total = np.zeros(STATES * (1 + STATES + CLASSES))
-        sums = scored.select("held", "sizes", "classes").mapInPandas(run, "at long, x double")
+        total = np.zeros(1 + k * (1 + k + CLASSES))
+        sums = chunks.drop("chunk", "ids").mapInPandas(run, "at long, x double")
         for r in sums.groupBy("at").agg(F.sum("x").alias("x")).collect():  # one row a parameter
             total[r.at] = r.x
-        hmm = Hmm.from_counts(total)
+        hmm = Hmm.from_counts(total[1 : 1 + k], total[1 + k : 1 + k + k * k].reshape(k, k), total[1 + k + k * k :].reshape(CLASSES, k))
+        if before is not None and total[0] - before < GAIN * abs(before):
+            break
+        before = total[0]
     return hmm
 
 
+def word_counts(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm) -> DataFrame:
+    """(h, x0, ..): expected number of times that each state emits each training word, over the corpus."""
+    names = [f"x{s}" for s in range(STATES)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                chunk = Chunk.of(r)
+                codes, sizes = chunk.training(r.held)
+                if not len(sizes):
+                    continue
+                z = lexicon.classes(chunk.words, chunk.shapes)
+                tied = Hmm(hmm.start, hmm.step, hmm.emit[z])  # a row a dictionary entry
+                emit = Blocks(codes, sizes).expected(tied)[3]
+                used = np.flatnonzero(chunk.counts)
+                yield pd.DataFrame({"h": chunk.words[used]} | {n: emit[used, s].astype(np.float32) for s, n in enumerate(names)})
+
+    found = chunks.drop("chunk", "ids").mapInPandas(run, "h long, " + ", ".join(f"{n} float" for n in names))
+    return found.groupBy("h").agg(*(F.sum(n).alias(n) for n in names))
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Training texts are those whose crc32(doc_id) modulo HELD_OUT_OF is not 2. Null and empty texts are
     one token, the end. Repeated rows count as often as they occur. Without training texts N and V are
-    0 and states emit all classes alike. Other columns are not read.
+    0 and every word is an unseen one. Other columns are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select("doc_id", held_out(HELD_OUT_OF).alias("held"), text_of().alias("text"))
     chunks = written(rows.mapInPandas(_chunked, CHUNKS), "chunks")
-    entries = chunks.select("chunk", F.posexplode(F.arrays_zip("tokens", "counts")).alias("at", "e"))
-    entries = entries.select("chunk", "at", F.col("e.tokens").alias("token"), F.col("e.counts").alias("n"))
-    counts = written(entries.groupBy("token").agg(F.sum("n").alias("c")).where("c > 0"), "counts")
+    entries = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts", "shapes")).alias("at", "e"))
+    entries = entries.select("chunk", "at", F.col("e.words").alias("h"), F.col("e.counts").alias("n"), F.col("e.shapes").cast("int").alias("shape"))
+    counts = written(entries.where("n > 0").groupBy("h").agg(F.sum("n").alias("c"), F.max("shape").alias("shape")), "counts")
     lexicon = build_lexicon(counts)
-    found = entries.select("chunk", "at", "token").join(counts, "token", "left")
-    found = found.groupBy("chunk").agg(F.collect_list(F.struct("at", F.coalesce("c", F.lit(0)).alias("c"))).alias("f"))
-    found = found.select("chunk", F.transform(F.array_sort("f"), lambda x: x["c"]).alias("found"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # rows are whole chunks from here on
-    scored = written(_annotate(chunks.join(found, "chunk"), lexicon), "scored")
-    hmm = baum_welch(scored, Hmm.initial(lexicon))
+    hmm = baum_welch(chunks, lexicon, Hmm.initial(lexicon))
+    names = [f"x{s}" for s in range(STATES)]
+    known = written(word_counts(chunks, lexicon, hmm).join(counts.select("h", "c"), "h"), "emissions")
+    discard(counts)
+    sums = known.agg(*(F.coalesce(F.sum(n), F.lit(0.0)) for n in names)).first()
+    mass = np.array([float(x) for x in sums]) + PRIOR
+    unseen = lexicon.unseen()
+    found = entries.select("chunk", "at", "h").join(known, "h", "left").select("chunk", "at", "c", *names)
+
+    def run(key: tuple, payload: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        row = next(payload.itertuples(index=False))
+        codes, sizes = unsqueeze(row.codes, "<u4").astype(np.int64), np.asarray(row.sizes, np.int64)
+        entry = entry.sort_values("at")
+        c = entry["c"].fillna(0).to_numpy(np.float64)
+        base = np.log10((c + 1) / (lexicon.tokens + lexicon.kinds + 1))
+        emit = entry[names].fillna(0).to_numpy(np.float64)
+        emit = (1 - unseen.sum()) * (emit + PRIOR * c[:, None] / max(1, lexicon.tokens)) / mass
+        new = c == 0
+        emit[new] = unseen[np.asarray(row.shapes, np.int64)[new]][:, None]
+        model = Hmm(hmm.start, hmm.step, emit)
+        blocks = Blocks(codes, sizes)
+        like, _, _ = blocks.forward(model, *blocks.transfer(model))
+        at = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        return pd.DataFrame(
+            {
+                "doc_id": pd.array([None if pd.isna(i) else int(i) for i in row.ids], dtype="Int64"),
+                "held_out": row.held,
+                "n_tokens": sizes,
+                "n_known": np.add.reduceat((c > 0).astype(np.int64)[codes], at),
+                "train_tokens": lexicon.tokens,
+                "base_score": np.add.reduceat(base[codes], at),
+                "score": like / np.log(10),
+            }
+        )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                z, sizes = _unpacked(r)
-                blocks = Blocks(z, sizes)
-                like, _, _ = blocks.forward(hmm, *blocks.transfer(hmm))
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array([None if pd.isna(i) else int(i) for i in r.ids], dtype="Int64"),
-                        "held_out": r.held,
-                        "n_tokens": sizes,
-                        "n_known": r.known,
-                        "train_tokens": lexicon.tokens,
-                        "base_score": r.base,
-                        "score": (like + np.asarray(r.inner)) / np.log(10),
-                    }
-                )
-
-    return scored.mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    payload = chunks.select("chunk", "ids", "held", "sizes", "codes", "shapes")
+    return payload.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(run, out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

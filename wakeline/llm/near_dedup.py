@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, small_batches, text_of, written
+from .common import discard, read_table, small_batches, text_of, written
 from .components import connected_components, few_components
 
 SHINGLE_WORDS = 5
@@ -261,8 +261,9 @@ def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     pairs = pairs.select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
     seen = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = written(verify(pairs.join(seen, ["a", "b"], "left_anti")).where("ok").select("a", "b"), "more")
-    found = near.unionByName(again.where("ok").select("a", "b")).unionByName(more)
-    return found, n_near + again.where("ok").count() + more.count()
+    found = written(near.unionByName(again.where("ok").select("a", "b")).unionByName(more), "found")
+    discard(tested, parts, rows, members, again, listed, more)
+    return found, found.count()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -296,6 +297,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = texts.select("text").mapInPandas(_with_class, "cid long, text string").join(hint(wanted.select("cid")), "cid", "left_semi")
     texts = written(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
     links, n_links = links_of(buckets, lambda pairs: _verify(pairs, texts))
+    discard(buckets, wanted, texts)
     if n_links:
         parts = components_of(links, n_links, False)
         least = heads.join(parts, F.col("cid") == F.col("node")).select("cid", "component", "head")
