@@ -474,15 +474,27 @@ def test_blocks_give_exact_likelihood_and_counts(monkeypatch):
     monkeypatch.setattr(hmm_lm, "BLOCK", 5)
     rng = np.random.default_rng(1)
     k = hmm_lm.STATES
-    hmm = hmm_lm.Hmm.from_counts(rng.random(k * (1 + k + hmm_lm.CLASSES)))
+    hmm = hmm_lm.Hmm.from_counts(rng.random(k), rng.random((k, k)), rng.random((hmm_lm.CLASSES, k)))
     sizes = np.array([1, 2, 7, 23, 5, 6, 11])
     z = rng.integers(0, hmm_lm.CLASSES, sizes.sum())
     blocks = hmm_lm.Blocks(z, sizes)
     like, _, _ = blocks.forward(hmm, *blocks.transfer(hmm))
     at = np.concatenate([[0], np.cumsum(sizes)])
     assert np.allclose(like, [plain_likelihood(hmm, z[a:b]) for a, b in zip(at, at[1:])])  # noqa: B905
-    counts = blocks.expected(hmm)
-    assert np.isclose(counts[:k].sum(), len(sizes)) and np.isclose(counts[k : k + k * k].sum(), (sizes - 1).sum()) and np.isclose(counts[k + k * k :].sum(), sizes.sum())
+    whole, start, step, emit = blocks.expected(hmm)
+    assert np.isclose(whole, like.sum())
+    assert np.isclose(start.sum(), len(sizes)) and np.isclose(step.sum(), (sizes - 1).sum()) and np.isclose(emit.sum(), sizes.sum())
+    # Expected counts by forward and backward over whole texts.
+    want = np.zeros_like(emit)
+    for a, b in zip(at, at[1:]):  # noqa: B905
+        alpha, beta = [hmm.start * hmm.emit[z[a]]], [np.ones(k)]
+        for c in z[a + 1 : b]:
+            alpha.append((alpha[-1] @ hmm.step) * hmm.emit[c])
+        for c in z[b - 1 : a : -1]:
+            beta.append(hmm.step @ (hmm.emit[c] * beta[-1]))
+        for c, x, y in zip(z[a:b], alpha, beta[::-1]):  # noqa: B905
+            want[c] += x * y / (x * y).sum()
+    assert np.allclose(want, emit, atol=1e-4)
 
 
 def test_baum_welch_raises_the_likelihood(spark):
@@ -510,6 +522,29 @@ def test_base_scores_match_brute_force(edge_docs, clashing_docs, empty_docs):
     assert hmm_lm.score_texts(empty_docs).count() == 0
 
 
+def test_states_learn_two_vocabularies(spark):
+    """Texts of two languages without a common word: held-out texts gain over the base by far, and by the states."""
+    r = random.Random(6)
+    words = [[prose(1000 * k + i, 1) + "xy"[k] for i in range(60)] for k in (0, 1)]
+    rows = [(i, " ".join(r.choice(words[i % 2]) for _ in range(40)), "en", "a", 0) for i in range(300)]
+    out = [x for x in hmm_lm.score_texts(spark.createDataFrame(rows, SCHEMA)).collect() if x.held_out]
+    tokens = sum(x.n_tokens for x in out)
+    assert sum(x.score - x.base_score for x in out) > 0.2 * tokens  # half the words are out of question: log10 of 2 is 0.30
+
+
+def test_model_is_a_distribution(spark):
+    """All texts of one word, by brute force: known words, and unseen ones of every shape, sum to the first token's 1."""
+    rows = [(i, prose(i, 12), "en", "a", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    seen = {w for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split()}
+    # One token a text: the text's end, which follows a word, is counted out by comparing with and without it.
+    probe = [(10_000 + 7 * k, w, "en", "a", 0) for k, w in enumerate(sorted(seen))]
+    probe = [(next(i for i in range(p[0], p[0] + 100_000) if zlib.crc32(str(i).encode()) % 7 == 2), *p[1:]) for p in probe]
+    got = hmm_lm.score_texts(docs.unionByName(spark.createDataFrame(probe, SCHEMA))).collect()
+    mass = sum(10**x.score for x in got if x.doc_id >= 10_000)
+    assert 0 < mass < 1
+
+
 # --- packing ---------------------------------------------------------------------------------------
 
 

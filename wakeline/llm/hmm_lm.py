@@ -333,7 +333,7 @@ def baum_welch(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm, rounds: int = ROUN
         for r in sums.groupBy("at").agg(F.sum("x").alias("x")).collect():  # one row a parameter
             total[r.at] = r.x
         hmm = Hmm.from_counts(total[1 : 1 + k], total[1 + k : 1 + k + k * k].reshape(k, k), total[1 + k + k * k :].reshape(CLASSES, k))
-        if before is not None and total[0] - before < GAIN * abs(before):
+        if before is not None and total[0] - before <= GAIN * abs(before):
             break
         before = total[0]
     return hmm
@@ -411,8 +411,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
         )
 
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    payload = chunks.select("chunk", "ids", "held", "sizes", "codes", "shapes")
-    return payload.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(run, out)
+    payload = chunks.select(F.col("chunk").alias("part"), "ids", "held", "sizes", "codes", "shapes")
+    return payload.groupBy("part").cogroup(found.groupBy("chunk")).applyInPandas(run, out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
