@@ -47,51 +47,45 @@ class Bits:
         return x
 
 
+_BITS16 = np.arange(1 << 16, dtype=np.uint32)
+#: Every 16-bit number with its bits in reverse.
+REVERSED = sum(((_BITS16 >> np.uint32(i)) & np.uint32(1)) << np.uint32(15 - i) for i in range(16)).astype(np.int64)
+
+
+def canonical(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols in the order of their codes, and the bits of each."""
+    used = np.flatnonzero(lengths)
+    order = np.argsort(lengths[used], kind="stable")
+    return used[order], lengths[used[order]]
+
+
 class PrefixCode:
     """A canonical prefix code; one lone symbol takes no bits."""
 
-    def __init__(self, lengths: list[int]):
-        self.lengths = lengths
-        used = sorted((n, s) for s, n in enumerate(lengths) if n)
-        if not used:
-            used = [(1, 0)]
-        self.single = used[0][1] if len(used) == 1 else None
-        if self.single is not None:
-            return
-        if sum(1 << (15 - n) for n, _ in used) != 1 << 15:
+    def __init__(self, lengths: np.ndarray):
+        self.lengths = lengths = np.asarray(lengths, np.int64)
+        self.symbols, self.sizes = canonical(lengths)
+        self.single = None if len(self.symbols) > 1 else int(self.symbols[0]) if len(self.symbols) else 0
+        self.table: list[tuple[int, int]] = [(self.single, 0)] if self.single is not None else []
+        self.mask = 0
+        if self.single is None and (np.int64(1) << (15 - self.sizes)).sum() != 1 << 15:
             raise ValueError("the code lengths make no prefix code")
-        self.used = used
-        self.table: list[tuple[int, int]] = []
-
-    def _fill(self) -> None:
-        """The symbol and its length for every run of bits, made when first needed."""
-        self.bits = self.used[-1][0]
-        self.table = [(0, 0)] * (1 << self.bits)
-        code, before = 0, self.used[0][0]
-        for n, s in self.used:
-            code <<= n - before
-            before = n
-            start = int(f"{code:0{n}b}"[::-1], 2)
-            for i in range(start, 1 << self.bits, 1 << n):
-                self.table[i] = (s, n)
-            code += 1
-
-    def read(self, bits: Bits) -> int:
-        if self.single is not None:
-            return self.single
+
+    def look(self) -> tuple[list[tuple[int, int]], int]:
+        """Table and mask by which a symbol and its bits are read off the next bits of a stream."""
         if not self.table:
-            self._fill()
-        s, n = self.table[bits.peek(self.bits)]
-        bits.at += n
-        return s
+            bits = int(self.sizes[-1])
+            each = np.int64(1) << (bits - self.sizes)  # rows of a table by the first bit first
+            rows = REVERSED[: 1 << bits] >> (16 - bits)
+            symbols, sizes = np.repeat(self.symbols, each)[rows], np.repeat(self.sizes, each)[rows]
+            self.table, self.mask = list(zip(symbols.tolist(), sizes.tolist(), strict=True)), (1 << bits) - 1
+        return self.table, self.mask
 
     def fixed(self) -> tuple[int, np.ndarray] | None:
         """Length and symbols in order of their codes, if all codes have one length and are byte values."""
-        if self.single is not None:
+        if self.single is not None or self.sizes[0] != self.sizes[-1] or self.symbols[-1] > 255:
             return None
-        n = set(self.lengths) - {0}
-        symbols = np.flatnonzero(self.lengths)
-        return (n.pop(), symbols.astype(np.uint8)) if len(n) == 1 and symbols[-1] < 256 else None
+        return int(self.sizes[0]), self.symbols.astype(np.uint8)
 
 
 def read_code(bits: Bits, size: int) -> PrefixCode:
@@ -115,29 +109,48 @@ def read_code(bits: Bits, size: int) -> PrefixCode:
         bits.at += size
         if len(flat) < size:
             raise ValueError("the stream ends early")
-        return PrefixCode(kinds[flat].tolist())
+        return PrefixCode(kinds[flat])
+    table, mask = code.look()
     lengths, before = [], 8
+    place = bits.at >> 3
+    window, have = int.from_bytes(bits.data[place : place + WINDOW], "little") >> (bits.at & 7), 8 * WINDOW - (bits.at & 7)
+    place += WINDOW
     while len(lengths) < size and left:
         left -= 1
-        s = code.read(bits)
+        if have < 16:
+            window |= int.from_bytes(bits.data[place : place + WINDOW], "little") << have
+            have += 8 * WINDOW
+            place += WINDOW
+        s, n = table[window & mask]
+        window >>= n
+        have -= n
         if s < 16:
             lengths.append(s)
             before = s or before
         elif s == 16:
-            lengths += [before] * (3 + bits.read(2))
+            lengths += [before] * (3 + (window & 3))
+            window >>= 2
+            have -= 2
+        elif s == 17:
+            lengths += [0] * (3 + (window & 7))
+            window >>= 3
+            have -= 3
         else:
-            lengths += [0] * (3 + bits.read(3) if s == 17 else 11 + bits.read(7))
+            lengths += [0] * (11 + (window & 127))
+            window >>= 7
+            have -= 7
+    bits.at = 8 * place - have
+    if bits.at > 8 * len(bits.data):
+        raise ValueError("the stream ends early")
     if len(lengths) > size:
         raise ValueError("too many code lengths")
     return PrefixCode(lengths + [0] * (size - len(lengths)))
 
 
-def _extended(bits: Bits, prefix: int) -> int:
-    """The number a length or distance prefix stands for."""
-    if prefix < 4:
-        return prefix + 1
-    extra = (prefix - 2) >> 1
-    return ((2 + (prefix & 1)) << extra) + bits.read(extra) + 1
+#: Extra bits of a length or distance prefix, and the least number it stands for.
+EXTENDED = [(0, p + 1) if p < 4 else ((p - 2) >> 1, ((2 + (p & 1)) << ((p - 2) >> 1)) + 1) for p in range(DISTANCE_CODES)]
+#: Bytes taken from a stream at once, and more bits than a literal or a reference takes.
+WINDOW, LONGEST = 64, 96
 
 
 def _read_literals(bits: Bits, group: list[PrefixCode], n: int) -> np.ndarray | None:
@@ -179,23 +192,45 @@ def read_pixels(bits: Bits, width: int, height: int, top: bool) -> np.ndarray:
     cache = [0] * (1 << cache_bits) if cache_bits else None
     cached = 0  # pixels that the cache has seen
 
-    def fill() -> None:
-        nonlocal cached
-        while cached < len(out):
-            argb = out[cached]
-            cache[(CACHE_FACTOR * argb & 0xFFFFFFFF) >> (32 - cache_bits)] = argb
-            cached += 1
-
+    looks = [[code.look() for code in group] for group in groups]
+    (greens, green_mask), (reds, red_mask), (blues, blue_mask), (alphas, alpha_mask), (fars, far_mask) = looks[0]
+    # The stream as one number, of which a window of WINDOW bits is in hand; symbols are cut off its end.
+    data, end = bits.data, 8 * len(bits.data)
+    place = bits.at >> 3
+    window, have = int.from_bytes(data[place : place + WINDOW], "little") >> (bits.at & 7), 8 * WINDOW - (bits.at & 7)
+    place += WINDOW
+    x = y = 0  # of the next pixel, where groups of codes depend on it
     while len(out) < total:
-        x, y = len(out) % width, len(out) // width
-        group = groups[groups_at[y >> shift][x >> shift] if groups_at else 0]
-        s = group[0].read(bits)
+        if have < LONGEST:
+            window |= int.from_bytes(data[place : place + WINDOW], "little") << have
+            have += 8 * WINDOW
+            place += WINDOW
+            if 8 * place - have > end:
+                raise ValueError("the stream ends early")
+        if groups_at:
+            y, x = divmod(len(out), width)
+            (greens, green_mask), (reds, red_mask), (blues, blue_mask), (alphas, alpha_mask), (fars, far_mask) = looks[groups_at[y >> shift][x >> shift]]
+        s, n = greens[window & green_mask]
+        window >>= n
         if s < 256:
-            red, blue, alpha = (group[i].read(bits) for i in (1, 2, 3))
+            red, i = reds[window & red_mask]
+            window >>= i
+            blue, j = blues[window & blue_mask]
+            window >>= j
+            alpha, k = alphas[window & alpha_mask]
+            window >>= k
+            have -= n + i + j + k
             out.append(alpha << 24 | red << 16 | s << 8 | blue)
         elif s < 256 + LENGTH_CODES:
-            length = _extended(bits, s - 256)
-            d = _extended(bits, group[4].read(bits))
+            extra, base = EXTENDED[s - 256]
+            length = base + (window & ((1 << extra) - 1))
+            window >>= extra
+            prefix, i = fars[window & far_mask]
+            window >>= i
+            more, base = EXTENDED[prefix]
+            d = base + (window & ((1 << more) - 1))
+            window >>= more
+            have -= n + extra + i + more
             if d > len(NEIGHBOURS):
                 d -= len(NEIGHBOURS)
             else:
@@ -203,13 +238,22 @@ def read_pixels(bits: Bits, width: int, height: int, top: bool) -> np.ndarray:
                 d = max(1, dx + dy * width)
             if d > len(out) or len(out) + length > total:
                 raise ValueError("a back-reference leaves the image")
-            for _ in range(length):
-                out.append(out[-d])
+            if d >= length:
+                at = len(out) - d
+                out += out[at : at + length]
+            else:
+                run = out[-d:]
+                out += (run * (-(-length // d)))[:length]
         else:
-            fill()
+            have -= n
+            if cached < len(out):
+                for argb in out[cached:]:
+                    cache[(CACHE_FACTOR * argb & 0xFFFFFFFF) >> (32 - cache_bits)] = argb
+                cached = len(out)
             out.append(cache[s - 256 - LENGTH_CODES])
-        if bits.at > 8 * len(bits.data):
-            raise ValueError("the stream ends early")
+    bits.at = 8 * place - have
+    if bits.at > end:
+        raise ValueError("the stream ends early")
     return np.array(out, np.uint32)
 
 
@@ -462,67 +506,66 @@ def code_lengths(counts: np.ndarray, limit: int) -> list[int]:
     return lengths
 
 
-def _codes(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def _codes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code of every symbol in stream order, and its bits; a lone symbol takes none."""
     value, bits = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    used = sorted((n, s) for s, n in enumerate(lengths) if n)
-    if len(used) == 1:
-        return value, bits
-    code, before = 0, used[0][0]
-    for n, s in used:
-        code <<= n - before
-        before = n
-        value[s], bits[s] = int(f"{code:0{n}b}"[::-1], 2), n
-        code += 1
+    symbols, sizes = canonical(np.asarray(lengths, np.int64))
+    if len(symbols) > 1:
+        part = np.int64(1) << (16 - sizes)  # of all 16-bit numbers
+        value[symbols] = REVERSED[np.cumsum(part) - part]
+        bits[symbols] = sizes
     return value, bits
 
 
+def _runs(lengths: np.ndarray) -> list[tuple[int, int, int]]:
+    """Code lengths as symbols of their own code, each with extra bits and their number."""
+    edges = np.flatnonzero(np.diff(lengths, prepend=-1))
+    runs = []
+    for v, n in zip(lengths[edges].tolist(), np.diff(edges, append=len(lengths)).tolist(), strict=True):
+        if v:
+            runs.append((v, 0, 0))
+            n -= 1
+        while n >= 3:
+            k = min(n, 6 if v else 138)
+            runs.append((16, k - 3, 2) if v else (18, k - 11, 7) if k >= 11 else (17, k - 3, 3))
+            n -= k
+        runs += [(v, 0, 0)] * n
+    return runs
+
+
+#: The longest code the writer gives a symbol, so that tables stay short.
+WRITTEN_BITS = 11
+
+
 def _put_code(out: Writer, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Write a Huffman code for symbols of these counts; its codes and their bits."""
     used = np.flatnonzero(counts)
+    lengths = np.zeros(len(counts), np.int64)
     if len(used) <= 2 and used.max(initial=0) < 256:
         two, first = len(used) == 2, int(used[0]) if len(used) else 0
-        out.put(1, 1)
-        out.put(int(two), 1)
-        out.put(int(first > 1), 1)
+        out.put(1 | int(two) << 1 | int(first > 1) << 2, 3)
         out.put(first, 8 if first > 1 else 1)
         if two:
             out.put(int(used[1]), 8)
-        lengths = [0] * len(counts)
-        for s in used.tolist() or [0]:
-            lengths[s] = 1
+        lengths[used if len(used) else 0] = 1
         return _codes(lengths)
-    lengths = code_lengths(counts, 15)
+    lengths = np.asarray(code_lengths(counts, WRITTEN_BITS), np.int64)
     out.put(0, 1)
-    runs, i = [], 0
-    while i < len(lengths):
-        j = i
-        while j < len(lengths) and lengths[j] == lengths[i]:
-            j += 1
-        n = j - i
-        if lengths[i] == 0 and n >= 11:
-            n = min(n, 138)
-            runs.append((18, n - 11, 7))
-        elif lengths[i] == 0 and n >= 3:
-            runs.append((17, n - 3, 3))
-        elif lengths[i] and n >= 4:
-            n = min(n, 7)
-            runs += [(lengths[i], 0, 0), (16, n - 4, 2)]
-        else:
-            n = 1
-            runs.append((lengths[i], 0, 0))
-        i += n
+    runs = _runs(lengths)
     of = code_lengths(np.bincount([k for k, _, _ in runs], minlength=19), 7)
     last = max(k for k in range(19) if of[LENGTH_ORDER[k]])
     last = max(last + 1, 4)
     out.put(last - 4, 4)
+    head, at = 0, 0
     for k in LENGTH_ORDER[:last]:
-        out.put(of[k], 3)
-    out.put(0, 1)  # lengths of all symbols follow
-    value, bits = _codes(of)
+        head |= of[k] << at
+        at += 3
+    value, bits = (x.tolist() for x in _codes(of))
+    at += 1  # lengths of all symbols follow
     for k, extra, n in runs:
-        out.put(int(value[k]), int(bits[k]))
-        out.put(extra, n)
+        head |= (value[k] | extra << bits[k]) << at
+        at += bits[k] + n
+    out.put(head, at)
     return _codes(lengths)
 
 
@@ -541,8 +584,15 @@ def _cost(counts: np.ndarray) -> float:
     return float((c * np.log2(c.sum() / c)).sum()) + 5 * len(c)
 
 
+_CHANNELS = (np.arange(4) * 256).astype(np.int64)
+
+
 def _literal_cost(image: np.ndarray) -> float:
-    return sum(_cost(np.bincount(c.ravel(), minlength=256)) for c in _split(image))
+    """Bits of all pixels as literals, with the codes of the four channels."""
+    samples = image.ravel().view(np.uint8).reshape(-1, 4)
+    c = np.bincount((samples + _CHANNELS).ravel(), minlength=1024)
+    c = c[c > 0]
+    return 4 * image.size * float(np.log2(image.size)) - float((c * np.log2(c)).sum()) + 5 * len(c)
 
 
 def _copies(argb: list[int]) -> list[tuple[int, int, int]]:
@@ -638,14 +688,23 @@ def _put_part(out: Writer, image: np.ndarray) -> None:
 
 def _transforms(image: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray | int | None]]:
     """Transforms that might pay: kind, the image after it, and its data."""
-    a, r, g, b = _split(image)
-    out = [(SUBTRACT_GREEN, _join(a, r - g, g, b - g), None)]
+    samples = np.ascontiguousarray(image).view(np.uint8).reshape(*image.shape, 4)  # blue, green, red, alpha
+    whole = lambda x: np.ascontiguousarray(x).view(np.uint32).reshape(image.shape)
+    less = samples.copy()
+    less[..., 0] -= samples[..., 1]
+    less[..., 2] -= samples[..., 1]
+    out = [(SUBTRACT_GREEN, whole(less), None)]
     for mode in (1, 2):
-        before = np.full_like(image, BLACK)
-        before[:, 1:] = image[:, :-1]
-        below = slice(None) if mode == 2 else slice(0, 1)
-        before[1:, below] = image[:-1, below]
-        out.append((PREDICTOR, _join(*(x - y for x, y in zip(_split(image), _split(before), strict=True))), mode))
+        before = np.zeros_like(samples)
+        before[0, 0, 3] = 255
+        if mode == 1:
+            before[:, 1:] = samples[:, :-1]
+            before[1:, 0] = samples[:-1, 0]
+        else:
+            before[0, 1:] = samples[0, :-1]
+            before[1:] = samples[:-1]
+        out.append((PREDICTOR, whole(samples - before), mode))
+    a, r, g, b = _split(image)
     signed = lambda c: (c - 256 * (c > 127)).astype(np.float64)
     x = signed(g) - signed(g).mean()
     slopes = [int(np.clip(np.rint(32 * (x * signed(c)).sum() / max(1.0, (x * x).sum())), -128, 127)) for c in (r, b)]
@@ -698,7 +757,10 @@ def _encode_entropy(samples: np.ndarray) -> bytes:
 
 def encode(samples: np.ndarray) -> bytes:
     """A lossless WebP file of samples (height, width, RGBA), in the smaller of the two ways to write it."""
-    stream = min(_encode_entropy(samples), _encode_fixed(samples), key=len)
+    stream = _encode_entropy(samples)
+    width = max(1, int(np.count_nonzero(np.bincount(samples.ravel(), minlength=256)) - 1).bit_length())
+    if samples.size * width < 8 * len(stream):  # what its literals take alone
+        stream = min(stream, _encode_fixed(samples), key=len)
     padded = stream + b"\0" * (len(stream) & 1)
     chunk = b"VP8L" + len(stream).to_bytes(4, "little") + padded
     return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk
