@@ -64,6 +64,28 @@ def test_ledger_scans_only_unseen_blobs(spark, edge_docs, clashing_docs, empty_d
     assert secret_scan.scan_secrets(empty_docs).count() == 0
 
 
+def test_ledger_rows_of_two_writers_count_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "password = hunter22", "en", "s", 0), (2, "nothing", "en", "s", 0)], SCHEMA)
+    ledger = f"{tmp_path}/ledger"
+    secret_scan.update_ledger(docs, ledger)
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger + "2")
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger + "2")
+    assert sorted(r.doc_id for r in secret_scan.scan_secrets(docs, ledger + "2").collect()) == [1, 2]
+    assert secret_scan.redact_secrets(docs, ledger + "2").count() == 2
+
+
+def test_changed_rules_scan_again(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(1, "password = hunter22", "en", "s", 0)], SCHEMA)
+    ledger = f"{tmp_path}/ledger"
+    secret_scan.update_ledger(docs, ledger)
+    secret_scan.update_ledger(docs, ledger)
+    assert spark.read.parquet(ledger).count() == 1
+    monkeypatch.setattr(secret_scan, "RULES_VERSION", "other")
+    assert secret_scan.findings(spark, ledger).count() == 0
+    secret_scan.update_ledger(docs, ledger)
+    assert spark.read.parquet(ledger).count() == 2
+
+
 def test_redaction_replaces_spans(spark, clashing_docs, empty_docs):
     text = "a password = hunter22 b AKIA" + "C" * 16 + " token=" + "ab" * 16
     out = secret_scan.redact_secrets(spark.createDataFrame([(1, text, "en", "s", 0), (2, None, None, None, None)], SCHEMA)).collect()
@@ -156,6 +178,30 @@ def test_stored_payload_round_trip(text):
     assert media_columns.pixels(media_columns.store(payload)).tobytes() == payload
 
 
+def test_texts_of_several_images(spark):
+    """Payloads over the format's most rows take several files, one after the other."""
+    text = prose(5, 300) * 500 + "é" * 100
+    payload, _ = media_columns.payload_of(text)
+    assert len(payload) > 48 * media_columns.MAX_ROWS
+    stored = media_columns.store(payload)
+    assert stored.count(b"WEBPVP8L") == 2 and media_columns.pixels(stored).tobytes() == payload
+
+
+def test_stored_forms_use_the_format():
+    """On texts of several kinds the writer takes references, the cache and transforms, so the reader meets them all."""
+    seen = set()
+    read, undo = webp.read_pixels, webp.decode_stream
+    texts = [prose(1, 400), "ab" * 3000, prose(2, 40) * 30, "".join(chr(97 + i % 7) for i in range(4000)), "x", "abcd" * 999, "the line\n" * 400]
+    for t in texts:
+        data = media_columns.store(media_columns.payload_of(t)[0])
+        bits = webp.Bits(data[20:])
+        bits.read(40 - 0)
+        if bits.read(1):
+            seen.add(("transform", bits.read(2)))
+        assert media_columns.pixels(data).tobytes() == media_columns.payload_of(t)[0]
+    assert any(k == "transform" for k, _ in seen) and read and undo
+
+
 def test_media_edges(edge_docs, clashing_docs, empty_docs):
     for d in (edge_docs, clashing_docs):
         rows = media_columns.describe(media_columns.media_column(d)).collect()
@@ -422,6 +468,9 @@ def test_decoder_inverts_every_feature(seed):
 # --- urls ------------------------------------------------------------------------------------------
 
 
+BLOCKED = "free-bets.example.org"  # no rule fits it
+
+
 def brute_url(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = re.match("[^/?#]*", rest)[0]
@@ -433,25 +482,34 @@ def brute_url(url):
     return host, path, best[2], best[1]
 
 
-def test_urls_match_brute_force(spark):
+@pytest.mark.parametrize("part_bytes", [1 << 26, 4])
+def test_urls_match_brute_force(spark, monkeypatch, part_bytes):
+    """In one cascade, and in several parts."""
+    monkeypatch.setattr(url_filter, "PART_BYTES", part_bytes)
+    blocked = spark.createDataFrame([(d,) for d in (*url_filter.BLOCKLIST, url_filter.BLOCKLIST[0], None)], "key string")
     r = random.Random(2)
     hosts = ["com", "example.com", "WWW.Example.com", "a.net", "net", "www.free-bets.example.org", "xfree-bets.example.org", "spam-farm.example.org", "x.org", "", "é.net"]
     paths = ["", "/", "/en/", "/en", "/fr/x", "/es/?a=/fr/", "?x", "#y/en/", "/en/#z"]
     urls = [f"{r.choice(['http', 'ftp', ''])}{r.choice(['://', '://', ':/'])}{r.choice(hosts)}{r.choice(paths)}" for _ in range(300)] + [None, ""]
     rows = [(i, u, "x", "y") for i, u in enumerate(urls)] + [(None, None, "x", "y"), (0, urls[0], "x", "y")]
-    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, key string, listed string")).collect()
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, key string, listed string"), blocked).collect()
     assert len(got) == len(rows)
     for x in got:
         if x.page_id is not None:
             assert (x.host, x.path, x.rule, x.verdict) == brute_url(urls[x.page_id])
-    assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+    assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string"), blocked).count() == 0
+    long = "http://" + "a." * 3000 + BLOCKED + "/" + "p" * 50_000
+    few = spark.createDataFrame([(1, long), (2, "http://" + BLOCKED)], "page_id long, url string")
+    assert [x.verdict for x in url_filter.filter_urls(few, blocked).collect()] == ["block", "block"]
+    assert [x.verdict for x in url_filter.filter_urls(few, blocked.limit(0)).collect()] == ["allow", "allow"]
 
 
 def test_cascade_is_exact_on_its_universe(spark):
     universe = [f"k{i}.example" for i in range(6000)]
     listed = universe[::7] + ["absent.example"]
     frame = lambda keys: spark.createDataFrame([(k,) for k in keys], "key string")
-    levels = url_filter.build_cascade(frame(listed), frame(universe))
+    inside, outside = url_filter._hashed(frame(listed)), url_filter._hashed(frame([k for k in universe if k not in set(listed)]))
+    levels = url_filter.build_cascade(inside.select("h1", "h2"), outside.select("h1", "h2"))
     assert len(levels) > 1
     h = frame(universe).select("key", *url_filter.hash_pair(url_filter.F.col("key"))).toPandas()
     found = url_filter.is_listed(levels, h.iloc[:, 1].to_numpy(np.int64), h.iloc[:, 2].to_numpy(np.int64))
@@ -594,6 +652,23 @@ def check_bins(rows, bins, capacity):
         assert sorted(r.slot for r in held) == list(range(len(held)))
 
 
+def test_repeated_rows_are_dealt_to_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ITEMS", 100)
+    docs = spark.createDataFrame([(7, "same words here", "en", f"s{i % 3}", 0) for i in range(1000)], SCHEMA)
+    bins = packing.pack(docs).collect()
+    shards = Counter(r.bin_id >> 32 for r in bins)
+    assert len(bins) == 1000 and len(shards) == 10 and max(shards.values()) < 200
+
+
+def test_hot_source_is_packed_in_good_time():
+    import time
+
+    n = 40_000
+    began = time.process_time()
+    bins = packing.best_fit([10] * n, ["hot" if i % 3 else f"s{i % 17}" for i in range(n)], [None] * n, 2048)
+    assert time.process_time() - began < 20 and len(set(bins)) == Counter("hot" if i % 3 else f"s{i % 17}" for i in range(n))["hot"]
+
+
 def test_packing_keeps_its_rules(spark, edge_docs, clashing_docs, empty_docs, monkeypatch):
     check_bins(edge_rows(), packing.pack(edge_docs).collect(), packing.CAPACITY)
     check_bins(edge_rows(), packing.pack(clashing_docs).collect(), packing.CAPACITY)

@@ -6,7 +6,8 @@ from the first residual that is large enough until it meets a bin that holds nei
 nor its duplicate cluster, which its bitmaps tell.
 
 Only ids, sizes and hashes are shuffled, never texts. Items are dealt to shards of bounded size by a
-hash, so that a hot source or cluster is spread over all shards; each shard packs on its own.
+hash of the row, its place in the table included, so that a hot source, a hot cluster and rows that repeat
+are spread over all shards. Each shard packs on its own: the tightest bin is the tightest of the shard.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, let, read_table, small_batches, text_of
+from .common import WORD, let, read_table, small_batches, text_of, written
 
 CAPACITY = 2048
 #: Items a shard holds on average. At least one bin a shard stays part empty.
@@ -32,11 +33,33 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int = CA
     source_bit = {s: 1 << i for i, s in enumerate(dict.fromkeys(sources))}
     often = [c for c, n in Counter(clusters).items() if n > 1 and c is not None]
     cluster_bit = {c: 1 << i for i, c in enumerate(often)}
-    at_residual: list[list[int]] = [[] for _ in range(capacity + 1)]
+    # Bins by residual, there by the sources they hold; and how many of them hold each source.
+    at_residual: list[dict[int, list[int]]] = [{} for _ in range(capacity + 1)]
+    holding: list[Counter] = [Counter() for _ in range(capacity + 1)]
+    number = [0] * (capacity + 1)
     occupied = 0  # bit r: some bin has residual r
     held_sources: list[int] = []
     held_clusters: list[int] = []
+    inside: list[list[int]] = []  # source bits of a bin, one by one
     out = []
+
+    def take(residual: int, s: int, c: int) -> int:
+        """Remove and return a bin without conflict, -1 if there is none."""
+        if holding[residual][s] == number[residual]:
+            return -1
+        for sources, bins in at_residual[residual].items():
+            if sources & s:
+                continue
+            for k, b in enumerate(bins):
+                if not held_clusters[b] & c:
+                    del bins[k]
+                    if not bins:
+                        del at_residual[residual][sources]
+                    number[residual] -= 1
+                    holding[residual].subtract(inside[b])
+                    return b
+        return -1
+
     for size, source, cluster in zip(sizes, sources, clusters, strict=True):
         s, c = source_bit[source], cluster_bit.get(cluster, 0)
         found, residual, ahead = -1, capacity, occupied >> size
@@ -44,14 +67,11 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int = CA
         while ahead:
             step = (ahead & -ahead).bit_length() - 1
             at += step
-            for k, b in enumerate(at_residual[at]):
-                if not (held_sources[b] & s or held_clusters[b] & c):
-                    found, residual = b, at
-                    at_residual[at].pop(k)
-                    if not at_residual[at]:
-                        occupied ^= 1 << at
-                    break
+            found = take(at, s, c)
             if found >= 0:
+                residual = at
+                if not number[at]:
+                    occupied ^= 1 << at
                 break
             ahead >>= step + 1
             at += 1
@@ -59,11 +79,15 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int = CA
             found = len(held_sources)
             held_sources.append(0)
             held_clusters.append(0)
+            inside.append([])
         held_sources[found] |= s
         held_clusters[found] |= c
+        inside[found].append(s)
         left = residual - size
         if left:
-            at_residual[left].append(found)
+            at_residual[left].setdefault(held_sources[found], []).append(found)
+            holding[left].update(inside[found])
+            number[left] += 1
             occupied |= 1 << left
         out.append(found)
     return out
@@ -81,7 +105,7 @@ def sized(docs: DataFrame) -> DataFrame:
 def pack(docs: DataFrame, capacity: int = CAPACITY, clusters: DataFrame | None = None) -> DataFrame:
     """A row for every piece of every document: bin_id and its slot there.
 
-    clusters (doc_id, cluster: long) replaces the exact-copy clusters. No bin holds two pieces of one
+    clusters (doc_id, cluster: long; one row a doc_id) replaces the clusters of copies with equal words. No bin holds two pieces of one
     source or cluster, or more than ``capacity`` tokens. Null and empty texts take one token, their
     end; a null source is a source of its own. Ties are taken by doc_id. Every row of the input is
     packed, repeated ones too. An empty table gives no bins.
@@ -91,8 +115,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, clusters: DataFrame | None =
     items = sized(docs)
     if clusters is not None:
         items = items.drop("cluster").join(clusters.select("doc_id", "cluster"), "doc_id", "left")
-    shards = max(1, -(-docs.count() // SHARD_ITEMS))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
+    items = written(items, "items")  # a row's place is the same whenever this table is read
+    shards = max(1, -(-items.count() // SHARD_ITEMS))
+    items = items.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(key[0])

@@ -27,7 +27,6 @@ from .common import read_table, shared_dir, small_batches, text_of
 BASE_KINDS = ("assign", "access", "hex")
 EXTRA_KINDS = ("pem", "jwt", "bearer", "url_login")
 KINDS = BASE_KINDS + EXTRA_KINDS
-RULES_VERSION = "4"
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -36,6 +35,9 @@ PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 BEARER = re.compile(r"(?ai)\bbearer\x20+[A-Za-z0-9._~+/=-]{20,}")
 URL_LOGIN = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s/@:]++:[^\s/@]{3,}+@")
+LEAST_VALUE, LEAST_ACCESS = 6, 20
+#: Follows from the rules, so that findings of other rules never count as those of the present ones.
+RULES_VERSION = hashlib.sha256(repr((KINDS, [(r.pattern, r.flags) for r in (ASSIGN, ACCESS, HEX, PEM, JWT, BEARER, URL_LOGIN)], LEAST_VALUE, LEAST_ACCESS)).encode()).hexdigest()[:16]
 
 
 def find_secrets(text: str) -> list[tuple[int, int, int]]:
@@ -45,9 +47,9 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
     """
     found = []
     if "=" in text or ":" in text:
-        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_VALUE]
     if "AKIA" in text:
-        found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
+        found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if "-----BEGIN" in text:
         found += [(m.start(), 3, m.end()) for m in PEM.finditer(text)]
@@ -96,6 +98,15 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
+def findings(spark: SparkSession, ledger: str) -> DataFrame:
+    """(blob, kinds, starts, ends) of the blobs with findings under the present rules, one row each.
+
+    Two writers may both have scanned a blob; they found the same in it.
+    """
+    own = read_ledger(spark, ledger).where((F.col("rules") == RULES_VERSION) & (F.size("kinds") > 0))
+    return own.groupBy("blob").agg(*(F.first(c).alias(c) for c in ("kinds", "starts", "ends")))
+
+
 def update_ledger(docs: DataFrame, ledger: str) -> None:
     """Scan the blobs of ``docs`` that ``ledger`` lacks under the present rules, append them."""
     spark = docs.sparkSession
@@ -119,7 +130,7 @@ def scan_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     ledger = ledger or new_ledger(spark)
     update_ledger(docs, ledger)
-    found = read_ledger(spark, ledger).where((F.col("rules") == RULES_VERSION) & (F.size("kinds") > 0)).drop("rules")
+    found = findings(spark, ledger)
     return with_blob(docs.select("doc_id", "text")).select("doc_id", "blob").join(found, "blob", "left")
 
 
@@ -132,7 +143,7 @@ def redact_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     ledger = ledger or new_ledger(spark)
     update_ledger(docs, ledger)
-    found = read_ledger(spark, ledger).where((F.col("rules") == RULES_VERSION) & (F.size("kinds") > 0)).drop("rules")
+    found = findings(spark, ledger)
     size = found.agg(F.count("*") * 96 + F.coalesce(F.sum(F.size("kinds")), F.lit(0)) * 12).first()[0]
     found = found.select(*[F.col(c).alias(f"_wl_{c}") for c in ("blob", "kinds", "starts", "ends")])  # names that can't clash
     joined = docs.withColumn("_wl_blob", blob_of()).join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "_wl_blob", "left")

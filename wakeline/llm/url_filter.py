@@ -4,7 +4,8 @@ The key universe is every host of the corpus with all its parent domains. Level
 the listed keys; each next level holds the keys of the other side that the level before lets through
 by mistake, until none is left. The first level that lacks a key decides it, exactly, for every key of
 the universe: odd levels lack listed keys only, even levels others only. Levels shrink geometrically
-and are small enough to send to every task, so urls are judged without a join.
+and are sent to every task, so urls are judged without a join. A list too long for that is cut into parts
+by the keys' hashes; each part has a cascade of its own, and the urls pass one after the other.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Domains on the blocklist, each with all its subdomains (parameter).
+#: Domains that are always on the query's blocklist, each with all its subdomains.
 BLOCKLIST = tuple(
     f"{name}.example.{top}" for name in ("adult-x", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")
 )
 BITS_PER_KEY, HASHES = 10, 7
-#: A cascade is sent to every task; building one of more bytes is refused, and the list has to be split.
-MAX_CASCADE_BYTES = 256 << 20
+#: About the most bytes of a cascade that is sent to every task at once; longer lists are judged in parts.
+PART_BYTES = 64 << 20
+#: Bits are set by the task of their segment, of so many bytes.
+SEGMENT = 1 << 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -102,39 +105,30 @@ def is_listed(levels: list[Level], h1: np.ndarray, h2: np.ndarray) -> np.ndarray
 
 
 def _fill(keys: DataFrame, n: int, size: int) -> np.ndarray:
-    """The bits of one level: each task sets those of its keys, equal bytes are joined by OR in a shuffle."""
+    """The bits of one level: tasks find the places of their keys, the task of a segment sets its bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits: dict[int, int] = {}
         for pdf in batches:
             at = places(pdf["h1"].to_numpy(np.int64), pdf["h2"].to_numpy(np.int64), n, size).ravel()
-            for byte, bit in zip((at >> 3).tolist(), (at & 7).tolist(), strict=True):
-                bits[byte] = bits.get(byte, 0) | 1 << bit
-            if len(bits) > 1_000_000:
-                yield pd.DataFrame({"byte": list(bits), "bits": list(bits.values())})
-                bits.clear()
-        yield pd.DataFrame({"byte": list(bits), "bits": list(bits.values())}, dtype=np.int64)
-
-    found = keys.mapInPandas(run, "byte long, bits long").groupBy("byte").agg(F.bit_or("bits").alias("bits"))
-    out = np.zeros((size + 7) // 8, np.uint8)
-    for r in found.toLocalIterator():  # bounded by MAX_CASCADE_BYTES
-        out[r.byte] = r.bits
-    return out
-
-
-def build_cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
-    """Levels for ``listed`` (key) over ``universe`` (key); both may hold repeated keys, nulls are left out."""
-    hashed = lambda df: df.where(F.col("key").isNotNull()).distinct().select("key", *(h.alias(f"h{i + 1}") for i, h in enumerate(hash_pair(F.col("key")))))
-    inside = written(hashed(listed), "cascade-listed")
-    outside = written(hashed(universe).join(inside.select("key"), "key", "left_anti"), "cascade-others")
+            yield pd.DataFrame({"segment": at // (8 * SEGMENT), "bit": at % (8 * SEGMENT)})
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        flat = np.zeros(8 * SEGMENT, np.uint8)
+        flat[pdf["bit"].to_numpy()] = 1
+        return pd.DataFrame({"segment": pdf["segment"].iloc[:1], "bits": [np.packbits(flat, bitorder="little").tobytes()]})
+
+    placed = keys.mapInPandas(run, "segment long, bit long").distinct()
+    out = np.zeros(-(-size // (8 * SEGMENT)) * SEGMENT, np.uint8)
+    for r in placed.groupBy("segment").applyInPandas(join, "segment long, bits binary").toLocalIterator():  # a row a segment
+        out[r.segment * SEGMENT : (r.segment + 1) * SEGMENT] = np.frombuffer(r.bits, np.uint8)
+    return out[: (size + 7) // 8]
+
+
+def build_cascade(inside: DataFrame, outside: DataFrame) -> list[Level]:
+    """Levels for the keys ``inside`` against ``outside``, disjoint tables of (h1, h2)."""
     levels: list[Level] = []
-    spent = 0
     while (count := inside.count()) > 0:
-        size = max(64, BITS_PER_KEY * count)
-        spent += size // 8
-        if spent > MAX_CASCADE_BYTES:
-            raise ValueError(f"the cascade would take over {MAX_CASCADE_BYTES} bytes; split the list")
-        n = len(levels)
+        size, n = max(64, BITS_PER_KEY * count), len(levels)
         level = Level(_fill(inside.select("h1", "h2"), n, size), size)
         levels.append(level)
 
@@ -147,36 +141,53 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
     return levels
 
 
-def filter_urls(pages: DataFrame, blocklist: DataFrame | None = None) -> DataFrame:
+def _hashed(keys: DataFrame) -> DataFrame:
+    return keys.where(F.col("key").isNotNull()).distinct().select("key", *(h.alias(f"h{i + 1}") for i, h in enumerate(hash_pair(F.col("key")))))
+
+
+def query_blocklist(pages: DataFrame) -> DataFrame:
+    """The query's list (key): BLOCKLIST, and every sixteenth host of the pages, those whose MD5 begins with 7."""
+    host, _ = host_and_path(F.col("url"))
+    hosts = pages.select(host.alias("key")).distinct().where((F.col("key") != "") & F.md5(F.col("key").cast("binary")).startswith("7"))
+    return hosts.unionByName(pages.sparkSession.createDataFrame([(d,) for d in BLOCKLIST], "key string"))
+
+
+def filter_urls(pages: DataFrame, blocklist: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict and listed of every page.
 
     A url with a fitting rule gets its verdict; any other is blocked if its host or a parent domain is
-    listed. Null urls and urls without ``://`` have an empty host, which fits no rule and is never listed.
+    in ``blocklist`` (key; nulls are left out, repeated keys count once). Null urls and urls without
+    ``://`` have an empty host, which fits no rule and is never listed. Urls of any length are taken as
+    a whole; repeated rows get equal verdicts. An empty list blocks nothing by itself.
     """
     spark = pages.sparkSession
     small_batches(spark)
-    if blocklist is None:
-        blocklist = spark.createDataFrame([(d,) for d in BLOCKLIST], "key string")
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     universe = parsed.select("host").distinct().select(F.explode(domains(F.col("host"))).alias("key"))
-    levels = build_cascade(blocklist.select("key"), universe)
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sizes = pdf["h1"].map(len).to_numpy()
-            flat = lambda c: np.concatenate([np.asarray(x, np.int64) for x in c]) if len(pdf) else np.zeros(0, np.int64)  # noqa: E731, B023
-            hit = is_listed(levels, flat(pdf["h1"]), flat(pdf["h2"]))
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            pdf["listed"] = np.logical_or.reduceat(hit, starts) if len(pdf) else hit
-            yield pdf[["page_id", "host", "path", "listed"]]
-
+    inside = written(_hashed(blocklist.select("key").where("key != ''")), "cascade-listed")
+    outside = written(_hashed(universe).join(inside.select("key"), "key", "left_anti"), "cascade-others")
+    parts = max(1, -(-inside.count() * BITS_PER_KEY // (8 * PART_BYTES)))
     keys = domains(F.col("host"))
     h1, h2 = F.transform(keys, lambda k: hash_pair(k)[0]), F.transform(keys, lambda k: hash_pair(k)[1])
     kind = pages.schema["page_id"].dataType.simpleString()
-    judged = parsed.select("page_id", "host", "path", h1.alias("h1"), h2.alias("h2")).mapInPandas(
-        judge, f"page_id {kind}, host string, path string, listed boolean"
-    )
+    judged = parsed.select("page_id", "host", "path", h1.alias("h1"), h2.alias("h2"), F.lit(False).alias("listed"))
+    for part in range(parts):
+        own = lambda df, part=part: df.where(F.pmod(F.col("h1"), F.lit(parts)) == part).select("h1", "h2")
+        levels = spark.sparkContext.broadcast(build_cascade(own(inside), own(outside)))
+
+        def judge(batches: Iterator[pd.DataFrame], levels=levels, part: int = part) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    flat = [np.concatenate([np.asarray(x, np.int64) for x in pdf[c]]) for c in ("h1", "h2")]
+                    hit = is_listed(levels.value, *flat) & (flat[0] % parts == part)
+                    starts = np.cumsum([0, *map(len, pdf["h1"])])[:-1]
+                    pdf["listed"] = pdf["listed"].to_numpy(bool) | np.logical_or.reduceat(hit, starts)
+                yield pdf
+
+        judged = judged.mapInPandas(judge, f"page_id {kind}, host string, path string, h1 array<long>, h2 array<long>, listed boolean")
+        if part < parts - 1:
+            judged = written(judged, "cascade-judged")
     rule, said = fitting_rule(F.col("host"), F.col("path"))
     method = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(said, method).alias("verdict"), "listed")
@@ -184,10 +195,11 @@ def filter_urls(pages: DataFrame, blocklist: DataFrame | None = None) -> DataFra
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: a verdict for every page."""
-    return filter_urls(read_table(spark, sf_dir, "pages"))
+    pages = read_table(spark, sf_dir, "pages")
+    return filter_urls(pages, query_blocklist(pages))
 
 
-_LISTED = " OR ".join(f"host = '{d}' OR ends_with(host, '.{d}')" for d in BLOCKLIST)
+_FIXED = ", ".join(f"'{d}'" for d in BLOCKLIST)
 _CASES = "\n".join(
     f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{said} {h}{p}'"
     for said, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2]))
@@ -200,8 +212,15 @@ WITH cut AS (
   SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM cut
+), listed_keys AS (
+  SELECT DISTINCT host AS k FROM parsed WHERE host <> '' AND starts_with(md5(host), '7') UNION SELECT unnest([{_FIXED}])
+), parents AS (
+  SELECT host, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.'))) AS k
+  FROM (SELECT DISTINCT host FROM parsed)
+), hit AS (
+  SELECT DISTINCT host FROM parents JOIN listed_keys USING (k)
 ), ruled AS (
-  SELECT *, CASE {_CASES} END AS r, ({_LISTED}) AS listed FROM parsed
+  SELECT *, CASE {_CASES} END AS r, host IN (SELECT host FROM hit) AS listed FROM parsed
 )
 SELECT page_id, host, path, split_part(r, ' ', 2) AS rule,
        CASE WHEN r IS NOT NULL THEN split_part(r, ' ', 1) WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
