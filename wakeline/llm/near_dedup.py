@@ -202,8 +202,8 @@ def components_of(links: DataFrame, n_links: int, native: bool) -> DataFrame:
     return few_components(links) if few else connected_components(links)
 
 
-def _most(x: str, y: str) -> Column:
-    """The most shingles that two classes of one representative can share.
+def _most(x: str, y: str, maps: bool) -> Column:
+    """The most shingles that two classes of one representative can share, from numbers, and bitmaps if there are any.
 
     Of the representative's they share what neither lacks; bits of both maps together count at least as
     many as are lacking. Of the rest, bits that only one map has count shingles the other has not.
@@ -211,15 +211,18 @@ def _most(x: str, y: str) -> Column:
     bits = lambda column, other, f: reduce(operator.add, (F.bit_count(f(F.col(column)[k], F.col(other)[k])) for k in range(MAP_WORDS)))
     gone = bits(f"lost_{x}", f"lost_{y}", lambda p, q: p.bitwiseOR(q))
     alone = lambda s, t: F.col(f"outside_{s}") - bits(f"new_{s}", f"new_{t}", lambda p, q: p.bitwiseAND(F.bitwise_not(q)))
-    inside = F.least(F.col(f"n_a_{x}") - gone, F.col(f"inside_{x}"), F.col(f"inside_{y}"))
-    return inside + F.when(F.col(f"own_{x}"), F.lit(0)).otherwise(F.least(alone(x, y), alone(y, x)))
+    inside = F.least(F.col(f"inside_{x}"), F.col(f"inside_{y}"))
+    more = F.least(F.col(f"outside_{x}"), F.col(f"outside_{y}"))
+    if maps:
+        inside, more = F.least(inside, F.col(f"n_a_{x}") - gone), F.least(alone(x, y), alone(y, x))
+    return inside + F.when(F.col(f"own_{x}"), F.lit(0)).otherwise(more)
 
 
 def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT, native: bool = False) -> tuple[DataFrame, int]:
     """All verified links (a, b) that matter for the components of the classes in ``buckets``, and their number.
 
-    buckets: key, cid, others (other rows in the bucket). verify turns pairs (a, b) into TESTED.
-    native keeps to DataFrame operations.
+    buckets: key, cid, others (other rows in the bucket). verify turns pairs (a, b) into TESTED, whose
+    bitmaps may be missing. native keeps to DataFrame operations.
     """
     c = F.col
     key = Window.partitionBy("key")
@@ -245,24 +248,30 @@ def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     of_main = parts.select(c("cid").alias("a"), c("component").alias("comp_a"))
     listed = members.join(both, ["a", "b"]).join(of_main, "a", "left").withColumn("far", ~c("ok") & (c("comp") != F.coalesce("comp_a", "a")))
     listed = written(listed.withColumn("inside", c("n_b") - c("outside")).drop("ok", "comp_a"), "listed")
-    facts = ("b", "comp", "n_a", "n_b", "inside", "outside", "lost", "new", "own")
-    firsts = listed.select("a", "need", "far", *facts[:-1], F.posexplode("firsts").alias("at", "g")).withColumn("own", c("at") >= c("outside"))
-    # First the shingles that the representative lacks, the rarest in its group before others, then its own.
-    # Two classes that share none of the former need enough of the latter for a link.
-    firsts = firsts.where(~c("own") | (100 * c("inside") >= percent * c("n_b")))
-    rarity = firsts.where(~c("own")).groupBy("a", "g").agg(F.count("*").alias("rarity"))
-    place = F.row_number().over(Window.partitionBy("a", "b").orderBy("own", "rarity", "g"))
-    firsts = firsts.join(rarity, ["a", "g"], "left").withColumn("place", place).where(c("place") <= c("need"))
-    side = lambda df, s: df.select("a", "g", *(c(x).alias(f"{x}_{s}") for x in facts))
-    fit = (100 + percent) * _most("x", "y") >= percent * (c("n_b_x") + c("n_b_y"))
+    maps = "lost" in listed.columns
+    facts = ("b", "comp", "n_b", "inside", "outside", *(("n_a", "lost", "new") if maps else ()))
+    firsts = listed.select("a", "b", "far", "need", "inside", "outside", "n_b", F.posexplode("firsts").alias("at", "g")).withColumn("own", c("at") >= c("outside"))
+    # Two classes that share none of what the representative lacks need enough of the rest for a link.
+    firsts = firsts.where(~c("own") | (100 * c("inside") >= percent * c("n_b"))).select("a", "b", "g", "far", "need", "outside", "own")
+    # Shingles that several classes of a group have, one of them unsettled; all others meet nothing.
+    group = Window.partitionBy("a", "g")
+    met = firsts.withColumn("rarity", F.count("*").over(group)).withColumn("open", F.max("far").over(group)).where("rarity > 1 and open")
+    if not native:  # of the many that the representative lacks, the rarest count, those that meet nothing among them
+        w = Window.partitionBy("a", "b")
+        place = F.row_number().over(w.orderBy("own", "rarity", "g")) + c("outside") - F.count_if(~c("own")).over(w)
+        met = met.withColumn("place", place).where(c("own") | (c("place") <= c("need")))
+    met = written(met.select("a", "b", "g", "own"), "met")
+    known = listed.select("a", "far", *facts)
+    side = lambda far, s: met.join(known.where("far") if far else known, ["a", "b"]).select("a", "g", *(c(x).alias(f"{x}_{s}") for x in (*facts, "own")))
+    fit = (100 + percent) * _most("x", "y", maps) >= percent * (c("n_b_x") + c("n_b_y"))
     other = (c("comp_x") != c("comp_y")) & (100 * F.least("n_b_x", "n_b_y") >= percent * F.greatest("n_b_x", "n_b_y"))
     on = (c("l.a") == c("r.a")) & (c("l.g") == c("r.g")) & other & fit
-    pairs = side(firsts.where("far"), "x").alias("l").join(side(firsts, "y").alias("r"), on)
+    pairs = side(True, "x").alias("l").join(side(False, "y").alias("r"), on)
     pairs = pairs.select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
     seen = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = written(verify(pairs.join(seen, ["a", "b"], "left_anti")).where("ok").select("a", "b"), "more")
     found = written(near.unionByName(again.where("ok").select("a", "b")).unionByName(more), "found")
-    discard(tested, parts, rows, members, again, listed, more)
+    discard(tested, parts, rows, members, again, listed, met, more)
     return found, found.count()
 
 
@@ -278,9 +287,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     docs = docs.select("doc_id", text_of().alias("text")).withColumn("th", F.xxhash64("text"))
     rows = written(docs.mapInPandas(_sketched, "doc_id long, th long, cid long, n_shingles long, keys array<long>"), "sketches")
-    classes = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(
-        F.first("keys").alias("keys")
-    )
+    classes = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.first("keys").alias("keys"))
     exploded = classes.select("cid", F.explode("keys").alias("key"))
     by_key = Window.partitionBy("key")
     shared = exploded.withColumn("others", F.count("*").over(by_key) - 1).where("others > 0")
