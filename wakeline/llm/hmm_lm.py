@@ -36,14 +36,14 @@ from pyspark.sql import functions as F
 from .common import discard, held_out, read_table, small_batches, text_of, written
 
 HELD_OUT_OF = 7
-STATES, ROUNDS = 5, 5
+STATES, ROUNDS = 4, 4
 #: Rounds end when the likelihood's logarithm gains less than this share.
 GAIN = 0.0005
 TOP, SHAPES = 2000, 64
 CLASSES = TOP + SHAPES
 #: A chunk ends when it has so many bytes of text or so many documents.
-CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 4000
-BLOCK = 256
+CHUNK_BYTES, CHUNK_DOCS = 8 << 20, 8000
+BLOCK = 1024
 SMOOTH = 0.01
 #: A state's emissions count as if the corpus's own shares had been seen in it so many times.
 PRIOR = 50.0
@@ -199,7 +199,7 @@ class Blocks:
     """The texts of a chunk as blocks of up to BLOCK tokens, longest first, walked in lockstep.
 
     The first token of a text belongs to no block: it starts the text's vector. codes index the rows of
-    the emissions that the methods are given.
+    the emissions that the methods are given. Only texts of several blocks need transfer matrices.
     """
 
     def __init__(self, codes: np.ndarray, sizes: np.ndarray):
@@ -210,73 +210,88 @@ class Blocks:
         text = np.repeat(np.arange(len(sizes)), self.per_text)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(self.per_text) - self.per_text, self.per_text)
         length = np.minimum(BLOCK, rest[text] - nth * BLOCK)
-        self.order = np.argsort(-length, kind="stable")
-        self.at = (self.first[text] + 1 + nth * BLOCK)[self.order]
-        self.length = length[self.order]
-        self.place = np.empty_like(self.order)  # of block (text, nth) in the order
-        self.place[self.order] = np.arange(len(self.order))
+        order = np.argsort(-length, kind="stable")
+        self.text, self.length = text[order], length[order]
+        self.at = (self.first[text] + 1 + nth * BLOCK)[order]
+        self.place = np.empty_like(order)  # of block (text, nth) in the order
+        self.place[order] = np.arange(len(order))
         self.base = np.cumsum(self.per_text) - self.per_text
-        self.active = [int(np.searchsorted(-self.length, -t, side="left")) for t in range(int(self.length.max(initial=0)))]
+        self.chained = np.flatnonzero(self.per_text[self.text] > 1)
+        self.slot = np.full(len(order), -1)
+        self.slot[self.chained] = np.arange(len(self.chained))
 
-    def transfer(self, hmm: Hmm) -> tuple[np.ndarray, np.ndarray]:
-        """Scaled product of each block's matrices, and the logarithm of what was taken out."""
-        n, k = len(self.length), STATES
-        m = np.broadcast_to(np.eye(k), (n, k, k)).copy()
-        log = np.zeros(n)
-        for t, live in enumerate(self.active):
-            x = (m[:live].reshape(-1, k) @ hmm.step).reshape(live, k, k) * hmm.emit[self.codes[self.at[:live] + t]][:, None, :]
-            s = x.sum((1, 2))
-            m[:live] = x / s[:, None, None]
-            log[:live] += np.log(s)
-        return m, log
+    @staticmethod
+    def _active(length: np.ndarray) -> list[int]:
+        """How many blocks have a token t, for every t; the longest come first."""
+        return [int(np.searchsorted(-length, -t, side="left")) for t in range(int(length.max(initial=0)))]
 
-    def forward(self, hmm: Hmm, m: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log likelihood of each text, the vector before each block, and the last vector of each text."""
+    def _transfer(self, hmm: Hmm) -> np.ndarray:
+        """Scaled product of the matrices of each block of a text that has several."""
+        n, k = len(self.chained), STATES
+        m = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+        at = self.at[self.chained]
+        for t, live in enumerate(self._active(self.length[self.chained])):
+            x = (m[:live].reshape(-1, k) @ hmm.step).reshape(live, k, k) * hmm.emit[self.codes[at[:live] + t]][:, None, :]
+            m[:live] = x / x.sum((1, 2))[:, None, None]
+        return m
+
+    def _before(self, hmm: Hmm, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The vector before each block, and the log likelihood of each text's first token."""
         v = hmm.start * hmm.emit[self.codes[self.first]]
         s = v.sum(1)
         v /= s[:, None]
-        like = np.log(s)
         into = np.empty((len(self.length), STATES))
         for j in range(int(self.per_text.max(initial=0))):
             who = np.flatnonzero(self.per_text > j)
             b = self.place[self.base[who] + j]
             into[b] = v[who]
-            x = np.einsum("nk,nkl->nl", v[who], m[b])
-            s = x.sum(1)
-            v[who] = x / s[:, None]
-            like[who] += np.log(s) + log[b]
-        return like, into, v
+            more = self.per_text[who] > j + 1
+            x = np.einsum("nk,nkl->nl", v[who[more]], m[self.slot[b[more]]])
+            v[who[more]] = x / x.sum(1, keepdims=True)
+        return into, np.log(s)
 
-    def backward(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The vector after each block, and after each text's first token."""
+    def _after(self, m: np.ndarray) -> np.ndarray:
+        """The vector after each block."""
         v = np.ones((len(self.first), STATES))
         out = np.empty((len(self.length), STATES))
         for j in range(int(self.per_text.max(initial=0)) - 1, -1, -1):
             who = np.flatnonzero(self.per_text > j)
             b = self.place[self.base[who] + j]
             out[b] = v[who]
-            x = np.einsum("nkl,nl->nk", m[b], v[who])
-            v[who] = x / x.sum(1, keepdims=True)
-        return out, v
+            if j:
+                x = np.einsum("nkl,nl->nk", m[self.slot[b]], v[who])
+                v[who] = x / x.sum(1, keepdims=True)
+        return out
+
+    def forward(self, hmm: Hmm, keep: list | None = None) -> np.ndarray:
+        """Log likelihood of each text; ``keep`` gets the matrices and the vectors after every step."""
+        m = self._transfer(hmm)
+        v, like = self._before(hmm, m)
+        if keep is not None:
+            keep += [m, v.copy()]
+        log = np.zeros(len(v))
+        for t, live in enumerate(self._active(self.length)):
+            x = (v[:live] @ hmm.step) * hmm.emit[self.codes[self.at[:live] + t]]
+            s = x.sum(1)
+            x /= s[:, None]
+            v[:live] = x
+            log[:live] += np.log(s)
+            if keep is not None:
+                keep.append(x)
+        return like + np.bincount(self.text, log, len(like))
 
     def expected(self, hmm: Hmm) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         """Log likelihood and expected counts of starts, steps and emissions: the E step of Baum-Welch."""
         k = STATES
-        m, log = self.transfer(hmm)
-        like, into, _ = self.forward(hmm, m, log)
-        after, after_first = self.backward(m)
+        kept: list = []
+        like = self.forward(hmm, kept)
+        m, *alphas = kept
+        beta = self._after(m)
         steps = np.zeros((k, k))
         gamma = np.empty((len(self.codes), k), np.float32)  # of every token
-        first = hmm.start * hmm.emit[self.codes[self.first]] * after_first
-        first /= first.sum(1, keepdims=True)
-        gamma[self.first] = first
-        alphas = [into]
-        for t, live in enumerate(self.active):
-            x = (alphas[-1][:live] @ hmm.step) * hmm.emit[self.codes[self.at[:live] + t]]
-            alphas.append(x / x.sum(1, keepdims=True))
-        beta = after.copy()
-        for t in range(len(self.active) - 1, -1, -1):
-            live = self.active[t]
+        active = self._active(self.length)
+        for t in range(len(active) - 1, -1, -1):
+            live = active[t]
             here = self.at[:live] + t
             both = alphas[t + 1] * beta[:live]
             gamma[here] = both / both.sum(1, keepdims=True)
@@ -286,6 +301,11 @@ class Blocks:
             norm = (before * back).sum(1)
             steps += hmm.step * ((before / norm[:, None]).T @ w)
             beta[:live] = back / back.sum(1, keepdims=True)
+        first = hmm.start * hmm.emit[self.codes[self.first]]
+        has = np.flatnonzero(self.per_text)
+        first[has] *= beta[self.place[self.base[has]]]
+        first /= first.sum(1, keepdims=True)
+        gamma[self.first] = first
         emit = np.stack([np.bincount(self.codes, gamma[:, s], len(hmm.emit)) for s in range(k)], 1)
         return float(like.sum()), first.sum(0), steps, emit
 
@@ -340,8 +360,11 @@ def baum_welch(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm, rounds: int = ROUN
 
 
 def word_counts(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm) -> DataFrame:
-    """(h, x0, ..): expected number of times that each state emits each training word, over the corpus."""
-    names = [f"x{s}" for s in range(STATES)]
+    """(h, x0, ..): expected number of times that each state but the last emits each training word, over the corpus.
+
+    What is left of the word's count is the last state's.
+    """
+    names = [f"x{s}" for s in range(STATES - 1)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -357,7 +380,7 @@ def word_counts(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm) -> DataFrame:
                 yield pd.DataFrame({"h": chunk.words[used]} | {n: emit[used, s].astype(np.float32) for s, n in enumerate(names)})
 
     found = chunks.drop("chunk", "ids").mapInPandas(run, "h long, " + ", ".join(f"{n} float" for n in names))
-    return found.groupBy("h").agg(*(F.sum(n).alias(n) for n in names))
+    return found.groupBy("h").agg(*(F.sum(n).cast("float").alias(n) for n in names))
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -376,11 +399,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
     counts = written(entries.where("n > 0").groupBy("h").agg(F.sum("n").alias("c"), F.max("shape").alias("shape")), "counts")
     lexicon = build_lexicon(counts)
     hmm = baum_welch(chunks, lexicon, Hmm.initial(lexicon))
-    names = [f"x{s}" for s in range(STATES)]
+    names = [f"x{s}" for s in range(STATES - 1)]
     known = written(word_counts(chunks, lexicon, hmm).join(counts.select("h", "c"), "h"), "emissions")
     discard(counts)
     sums = known.agg(*(F.coalesce(F.sum(n), F.lit(0.0)) for n in names)).first()
-    mass = np.array([float(x) for x in sums]) + PRIOR
+    mass = np.array([float(x) for x in sums])
+    mass = np.append(mass, max(0.0, lexicon.tokens - mass.sum())) + PRIOR
     unseen = lexicon.unseen()
     found = entries.select("chunk", "at", "h").join(known, "h", "left").select("chunk", "at", "c", *names)
 
@@ -391,12 +415,13 @@ def score_texts(docs: DataFrame) -> DataFrame:
         c = entry["c"].fillna(0).to_numpy(np.float64)
         base = np.log10((c + 1) / (lexicon.tokens + lexicon.kinds + 1))
         emit = entry[names].fillna(0).to_numpy(np.float64)
+        emit = np.column_stack([emit, np.maximum(0.0, c - emit.sum(1))])
         emit = (1 - unseen.sum()) * (emit + PRIOR * c[:, None] / max(1, lexicon.tokens)) / mass
         new = c == 0
         emit[new] = unseen[np.asarray(row.shapes, np.int64)[new]][:, None]
         model = Hmm(hmm.start, hmm.step, emit)
         blocks = Blocks(codes, sizes)
-        like, _, _ = blocks.forward(model, *blocks.transfer(model))
+        like = blocks.forward(model)
         at = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         return pd.DataFrame(
             {
