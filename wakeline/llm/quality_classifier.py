@@ -13,6 +13,7 @@ all texts with a model of 512 KB.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -57,6 +58,13 @@ def features(text: str | None) -> np.ndarray:
     return np.flatnonzero(has)
 
 
+def packed(found: np.ndarray) -> bytes:
+    """Features as one bit each, deflated: 8 KB at most, however long the text is."""
+    has = np.zeros(FEATURES, np.uint8)
+    has[found] = 1
+    return zlib.compress(np.packbits(has).tobytes(), 1)
+
+
 @dataclass
 class Model:
     ratio: np.ndarray  # log-count ratios
@@ -117,6 +125,8 @@ def calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the labelled rows that are not held out. Null labels are left out, of several the least counts.
 
+    Texts of any length count as a whole, null and empty ones without a feature; rows that repeat a
+    doc_id are rows of their own.
     Without rows of both classes every score is the share of label 1 (1 without labels).
     """
     spark = docs.sparkSession
@@ -143,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 found = features(text)
                 counts[int(q > 0), found] += 1
                 if d:
-                    kept.append((i, int(q > 0), found.astype("<u4").tobytes()))
+                    kept.append((i, int(q > 0), packed(found)))
             yield pd.DataFrame(kept, columns=["doc_id", "label", "found"])
         # The counts of a task, in one row.
         yield pd.DataFrame({"doc_id": [None], "label": [-1], "found": [counts.astype("<i8").tobytes()]})
@@ -163,10 +173,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     for r in sums.groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).collect():
         neg[r.feature], pos[r.feature] = r.neg, r.pos  # at most FEATURES rows
     ratio = log_count_ratio(pos, neg)
-    sample = seen.where("label >= 0").toPandas().sort_values("doc_id")  # about 2 * SAMPLE rows at most
+    sample = seen.where("label >= 0").toPandas().sort_values("doc_id")  # about 2 * SAMPLE rows of 8 KB at most
     data, y = [], np.where(sample["label"].to_numpy() > 0, 1.0, -1.0)
     for x in sample["found"]:
-        f = np.frombuffer(x, "<u4").astype(np.int64)
+        f = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(x), np.uint8)))
         v = ratio[f]
         data.append((f, v / (np.sqrt(v @ v) or 1.0)))
     k_pos, k_neg = max(1, (y > 0).sum()), max(1, (y < 0).sum())
