@@ -210,6 +210,9 @@ def test_stored_forms_use_the_format(monkeypatch):
     monkeypatch.setattr(webp, "_read_literals", read_literals)
     monkeypatch.setattr(webp, "_copies", found_copies)
     texts = [prose(1, 400), "ab" * 3000, prose(2, 40) * 30, "".join(chr(97 + i % 7) for i in range(4000)), "x", "abcd" * 999, "the line\n" * 400]
+    r = random.Random(3)
+    words = ["".join(r.choice("etaoinshrdlucmfwypvbgkqjxz") for _ in range(r.randint(2, 9))) for _ in range(300)]
+    texts.append(" ".join(r.choice(words) for _ in range(1500)))
     for t in texts:
         payload = media_columns.payload_of(t)[0]
         data = media_columns.store(payload)
