@@ -202,8 +202,8 @@ def components_of(links: DataFrame, n_links: int, native: bool) -> DataFrame:
     return few_components(links) if few else connected_components(links)
 
 
-def _most(x: str, y: str, maps: bool) -> Column:
-    """The most shingles that two classes of one representative can share, from numbers, and bitmaps if there are any.
+def _most(x: str, y: str) -> Column:
+    """The most shingles that two classes of one representative can share.
 
     Of the representative's they share what neither lacks; bits of both maps together count at least as
     many as are lacking. Of the rest, bits that only one map has count shingles the other has not.
@@ -211,18 +211,56 @@ def _most(x: str, y: str, maps: bool) -> Column:
     bits = lambda column, other, f: reduce(operator.add, (F.bit_count(f(F.col(column)[k], F.col(other)[k])) for k in range(MAP_WORDS)))
     gone = bits(f"lost_{x}", f"lost_{y}", lambda p, q: p.bitwiseOR(q))
     alone = lambda s, t: F.col(f"outside_{s}") - bits(f"new_{s}", f"new_{t}", lambda p, q: p.bitwiseAND(F.bitwise_not(q)))
-    inside = F.least(F.col(f"inside_{x}"), F.col(f"inside_{y}"))
-    more = F.least(F.col(f"outside_{x}"), F.col(f"outside_{y}"))
-    if maps:
-        inside, more = F.least(inside, F.col(f"n_a_{x}") - gone), F.least(alone(x, y), alone(y, x))
-    return inside + F.when(F.col(f"own_{x}"), F.lit(0)).otherwise(more)
+    inside = F.least(F.col(f"n_a_{x}") - gone, F.col(f"inside_{x}"), F.col(f"inside_{y}"))
+    return inside + F.when(F.col(f"own_{x}"), F.lit(0)).otherwise(F.least(alone(x, y), alone(y, x)))
+
+
+def _shared(firsts: DataFrame, key: list[str]) -> DataFrame:
+    """Shingles that several classes of a group have, one of them unsettled, with their number; all others meet nothing."""
+    group = Window.partitionBy(*key)
+    return firsts.withColumn("rarity", F.count("*").over(group)).withColumn("open", F.max("far").over(group)).where("rarity > 1 and open")
+
+
+def _meet_mapped(listed: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: classes of a group that share one of their first shingles, and may share enough by their bitmaps."""
+    c = F.col
+    met = _shared(firsts.select("a", "b", "g", "far", "need", "outside", "own"), ["a", "g"])
+    # Of the many that the representative lacks, the rarest count, those that meet nothing among them.
+    w = Window.partitionBy("a", "b")
+    place = F.row_number().over(w.orderBy("own", "rarity", "g")) + c("outside") - F.count_if(~c("own")).over(w)
+    met = written(met.withColumn("place", place).where(c("own") | (c("place") <= c("need"))).select("a", "b", "g", "own"), "met")
+    facts = ("b", "comp", "n_b", "inside", "outside", "n_a", "lost", "new")
+    known = listed.select("a", "far", *facts)
+    side = lambda far, s: met.join(known.where("far") if far else known, ["a", "b"]).select("a", "g", *(c(x).alias(f"{x}_{s}") for x in (*facts, "own")))
+    fit = (100 + percent) * _most("x", "y") >= percent * (c("n_b_x") + c("n_b_y"))
+    other = (c("comp_x") != c("comp_y")) & (100 * F.least("n_b_x", "n_b_y") >= percent * F.greatest("n_b_x", "n_b_y"))
+    on = (c("l.a") == c("r.a")) & (c("l.g") == c("r.g")) & other & fit
+    pairs = side(True, "x").alias("l").join(side(False, "y").alias("r"), on)
+    return written(pairs.select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct(), "pairs")
+
+
+def _meet_plain(listed: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """The same by sizes alone. What is shuffled is three numbers a shingle: group and shingle, the class, and its sizes."""
+    c = F.col
+    row = c("n_b").cast("long") * (1 << 33) + c("inside").cast("long") * 4 + c("far").cast("long") * 2 + c("own").cast("long")
+    slim = firsts.select(F.xxhash64("a", "g").alias("k"), "m", row.alias("v"), "far")
+    met = _shared(slim, ["k"]).select("k", "m", "v")
+    side = lambda s: met.select("k", *(x.alias(f"{n}_{s}") for n, x in (("m", c("m")), ("n", F.shiftright("v", 33)), ("in", F.shiftright("v", 2).bitwiseAND(F.lit((1 << 31) - 1))), ("far", c("v").bitwiseAND(F.lit(2)) > 0), ("own", c("v").bitwiseAND(F.lit(1)) > 0))))
+    outside = F.when(c("own_x"), F.lit(0)).otherwise(F.least(c("n_x") - c("in_x"), c("n_y") - c("in_y")))
+    fit = (100 + percent) * (F.least("in_x", "in_y") + outside) >= percent * (c("n_x") + c("n_y"))
+    size = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    found = side("x").alias("l").join(side("y").alias("r"), (c("l.k") == c("r.k")) & c("far_x") & (c("m_x") != c("m_y")) & size & fit)
+    found = found.select(F.least("m_x", "m_y").alias("m_x"), F.greatest("m_x", "m_y").alias("m_y")).distinct()
+    of = lambda s: listed.select(*(c(x).alias(f"{x}_{s}") for x in ("m", "b", "comp")))
+    both = found.join(of("x"), "m_x").join(of("y"), "m_y").where("comp_x != comp_y")
+    return written(both.select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct(), "pairs")
 
 
 def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int = PERCENT, native: bool = False) -> tuple[DataFrame, int]:
     """All verified links (a, b) that matter for the components of the classes in ``buckets``, and their number.
 
-    buckets: key, cid, others (other rows in the bucket). verify turns pairs (a, b) into TESTED, whose
-    bitmaps may be missing. native keeps to DataFrame operations.
+    buckets: key, cid, others (other rows in the bucket). verify turns pairs (a, b) into TESTED. native
+    keeps to DataFrame operations, and does without bitmaps.
     """
     c = F.col
     key = Window.partitionBy("key")
@@ -247,31 +285,15 @@ def links_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], perce
     # A class is settled in a group if it is linked to the representative, or in its component anyway.
     of_main = parts.select(c("cid").alias("a"), c("component").alias("comp_a"))
     listed = members.join(both, ["a", "b"]).join(of_main, "a", "left").withColumn("far", ~c("ok") & (c("comp") != F.coalesce("comp_a", "a")))
-    listed = written(listed.withColumn("inside", c("n_b") - c("outside")).drop("ok", "comp_a"), "listed")
-    maps = "lost" in listed.columns
-    facts = ("b", "comp", "n_b", "inside", "outside", *(("n_a", "lost", "new") if maps else ()))
-    firsts = listed.select("a", "b", "far", "need", "inside", "outside", "n_b", F.posexplode("firsts").alias("at", "g")).withColumn("own", c("at") >= c("outside"))
+    listed = written(listed.withColumn("inside", c("n_b") - c("outside")).withColumn("m", F.monotonically_increasing_id()).drop("ok", "comp_a"), "listed")
+    firsts = listed.select("a", "b", "m", "far", "need", "inside", "outside", "n_b", F.posexplode("firsts").alias("at", "g")).withColumn("own", c("at") >= c("outside"))
     # Two classes that share none of what the representative lacks need enough of the rest for a link.
-    firsts = firsts.where(~c("own") | (100 * c("inside") >= percent * c("n_b"))).select("a", "b", "g", "far", "need", "outside", "own")
-    # Shingles that several classes of a group have, one of them unsettled; all others meet nothing.
-    group = Window.partitionBy("a", "g")
-    met = firsts.withColumn("rarity", F.count("*").over(group)).withColumn("open", F.max("far").over(group)).where("rarity > 1 and open")
-    if not native:  # of the many that the representative lacks, the rarest count, those that meet nothing among them
-        w = Window.partitionBy("a", "b")
-        place = F.row_number().over(w.orderBy("own", "rarity", "g")) + c("outside") - F.count_if(~c("own")).over(w)
-        met = met.withColumn("place", place).where(c("own") | (c("place") <= c("need")))
-    met = written(met.select("a", "b", "g", "own"), "met")
-    known = listed.select("a", "far", *facts)
-    side = lambda far, s: met.join(known.where("far") if far else known, ["a", "b"]).select("a", "g", *(c(x).alias(f"{x}_{s}") for x in (*facts, "own")))
-    fit = (100 + percent) * _most("x", "y", maps) >= percent * (c("n_b_x") + c("n_b_y"))
-    other = (c("comp_x") != c("comp_y")) & (100 * F.least("n_b_x", "n_b_y") >= percent * F.greatest("n_b_x", "n_b_y"))
-    on = (c("l.a") == c("r.a")) & (c("l.g") == c("r.g")) & other & fit
-    pairs = side(True, "x").alias("l").join(side(False, "y").alias("r"), on)
-    pairs = pairs.select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
+    firsts = firsts.where(~c("own") | (100 * c("inside") >= percent * c("n_b")))
+    pairs = (_meet_plain if native else _meet_mapped)(listed, firsts, percent)
     seen = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = written(verify(pairs.join(seen, ["a", "b"], "left_anti")).where("ok").select("a", "b"), "more")
     found = written(near.unionByName(again.where("ok").select("a", "b")).unionByName(more), "found")
-    discard(tested, parts, rows, members, again, listed, met, more)
+    discard(tested, parts, rows, members, again, listed, more)
     return found, found.count()
 
 
