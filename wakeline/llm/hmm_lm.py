@@ -47,6 +47,8 @@ BLOCK = 1024
 SMOOTH = 0.01
 #: A state's emissions count as if the corpus's own shares had been seen in it so many times.
 PRIOR = 50.0
+#: Parts of one in which expected counts of words are summed.
+FIXED = 4096
 END = b""  # no word is empty
 
 CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words array<long>, shapes array<tinyint>, counts array<long>"
@@ -360,9 +362,10 @@ def baum_welch(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm, rounds: int = ROUN
 
 
 def word_counts(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm) -> DataFrame:
-    """(h, x0, ..): expected number of times that each state but the last emits each training word, over the corpus.
+    """(h, c, x0, ..): count of each training word over the corpus, and how often each state but the last emits it.
 
-    What is left of the word's count is the last state's.
+    The latter are expected numbers in FIXED-ths: whole numbers take little room, and their sums don't depend
+    on their order. What is left of the word's count is the last state's.
     """
     names = [f"x{s}" for s in range(STATES - 1)]
 
@@ -377,10 +380,11 @@ def word_counts(chunks: DataFrame, lexicon: Lexicon, hmm: Hmm) -> DataFrame:
                 tied = Hmm(hmm.start, hmm.step, hmm.emit[z])  # a row a dictionary entry
                 emit = Blocks(codes, sizes).expected(tied)[3]
                 used = np.flatnonzero(chunk.counts)
-                yield pd.DataFrame({"h": chunk.words[used]} | {n: emit[used, s].astype(np.float32) for s, n in enumerate(names)})
+                counts = {n: np.rint(emit[used, s] * FIXED).astype(np.int64) for s, n in enumerate(names)}
+                yield pd.DataFrame({"h": chunk.words[used], "c": chunk.counts[used]} | counts)
 
-    found = chunks.drop("chunk", "ids").mapInPandas(run, "h long, " + ", ".join(f"{n} float" for n in names))
-    return found.groupBy("h").agg(*(F.sum(n).cast("float").alias(n) for n in names))
+    found = chunks.drop("chunk", "ids").mapInPandas(run, "h long, c long, " + ", ".join(f"{n} long" for n in names))
+    return found.groupBy("h").agg(*(F.sum(n).alias(n) for n in ("c", *names)))
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -400,10 +404,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
     lexicon = build_lexicon(counts)
     hmm = baum_welch(chunks, lexicon, Hmm.initial(lexicon))
     names = [f"x{s}" for s in range(STATES - 1)]
-    known = written(word_counts(chunks, lexicon, hmm).join(counts.select("h", "c"), "h"), "emissions")
     discard(counts)
-    sums = known.agg(*(F.coalesce(F.sum(n), F.lit(0.0)) for n in names)).first()
-    mass = np.array([float(x) for x in sums])
+    known = written(word_counts(chunks, lexicon, hmm), "emissions")
+    sums = known.agg(*(F.coalesce(F.sum(n), F.lit(0)) for n in names)).first()
+    mass = np.array([float(x) / FIXED for x in sums])
     mass = np.append(mass, max(0.0, lexicon.tokens - mass.sum())) + PRIOR
     unseen = lexicon.unseen()
     found = entries.select("chunk", "at", "h").join(known, "h", "left").select("chunk", "at", "c", *names)
@@ -414,7 +418,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         entry = entry.sort_values("at")
         c = entry["c"].fillna(0).to_numpy(np.float64)
         base = np.log10((c + 1) / (lexicon.tokens + lexicon.kinds + 1))
-        emit = entry[names].fillna(0).to_numpy(np.float64)
+        emit = entry[names].fillna(0).to_numpy(np.float64) / FIXED
         emit = np.column_stack([emit, np.maximum(0.0, c - emit.sum(1))])
         emit = (1 - unseen.sum()) * (emit + PRIOR * c[:, None] / max(1, lexicon.tokens)) / mass
         new = c == 0
