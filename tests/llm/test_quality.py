@@ -4,6 +4,8 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +119,15 @@ def test_dual_coordinate_descent_reaches_the_optimum():
 
     at = loss(w, b)
     assert all(loss(w + d[:5], b + d[5]) >= at - 1e-3 for d in rng.normal(0, 0.05, (300, 6)))
+
+
+def test_sample_is_held_in_two_arrays():
+    """The driver keeps two bytes a feature and eight a value, in memory that goes back as a whole."""
+    texts = [prose(i, 40) for i in range(5)] + [""]
+    ratio = np.linspace(-1, 2, qc.FEATURES)
+    data = qc.unpacked(pd.Series([qc.packed(qc.features(t)) for t in texts]), ratio)
+    for t, (f, v) in zip(texts, data, strict=True):
+        want = ratio[qc.features(t)]
+        assert f.tolist() == qc.features(t).tolist() and np.array_equal(v, want / (np.sqrt(want @ want) or 1.0))
+    for part in zip(*data, strict=True):
+        assert len({id(x.base) for x in part}) == 1 and part[0].base.nbytes == part[0].itemsize * sum(map(len, part))

@@ -65,6 +65,21 @@ def packed(found: np.ndarray) -> bytes:
     return zlib.compress(np.packbits(has).tobytes(), 1)
 
 
+def unpacked(rows: pd.Series, ratio: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features, values) of packed rows, of unit length: parts of two large arrays, whose memory goes back as a whole."""
+    bits = lambda x: np.frombuffer(zlib.decompress(x), np.uint8)
+    ends = np.cumsum([0, *(int(np.bitwise_count(bits(x)).sum()) for x in rows)]).tolist()
+    features, values = np.empty(ends[-1], np.uint16), np.empty(ends[-1])
+    out = []
+    for x, i, j in zip(rows, ends, ends[1:]):  # noqa: B905
+        f, v = features[i:j], values[i:j]
+        f[:] = np.flatnonzero(np.unpackbits(bits(x)))
+        v[:] = ratio[f]
+        v /= np.sqrt(v @ v) or 1.0
+        out.append((f, v))
+    return out
+
+
 @dataclass
 class Model:
     ratio: np.ndarray  # log-count ratios
@@ -170,15 +185,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     sums = seen.where("label < 0").mapInPandas(unpack, "feature long, neg long, pos long")
     pos, neg = np.zeros(FEATURES), np.zeros(FEATURES)
-    for r in sums.groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).collect():
-        neg[r.feature], pos[r.feature] = r.neg, r.pos  # at most FEATURES rows
+    totals = sums.groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toArrow()  # at most FEATURES rows
+    at = totals["feature"].to_numpy()
+    neg[at], pos[at] = totals["neg"].to_numpy(), totals["pos"].to_numpy()
     ratio = log_count_ratio(pos, neg)
-    sample = seen.where("label >= 0").toPandas().sort_values("doc_id")  # about 2 * SAMPLE rows of 8 KB at most
-    data, y = [], np.where(sample["label"].to_numpy() > 0, 1.0, -1.0)
-    for x in sample["found"]:
-        f = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(x), np.uint8)))
-        v = ratio[f]
-        data.append((f, v / (np.sqrt(v @ v) or 1.0)))
+    sample = seen.where("label >= 0").toArrow().to_pandas().sort_values("doc_id")  # about 2 * SAMPLE rows of 8 KB at most
+    y = np.where(sample["label"].to_numpy() > 0, 1.0, -1.0)
+    data = unpacked(sample["found"], ratio)
     k_pos, k_neg = max(1, (y > 0).sum()), max(1, (y < 0).sum())
     cost = COST * np.where(y > 0, 1.0, max(1.0, k_pos / k_neg))
     weight, bias = dual_coordinate_descent(data, y, cost, FEATURES)
