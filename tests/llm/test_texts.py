@@ -696,3 +696,25 @@ def test_packing_keeps_its_rules(spark, edge_docs, clashing_docs, empty_docs, mo
     monkeypatch.setattr(packing, "SHARD_ITEMS", 50)
     rows = [(i, prose(i % 90, 5 + i % 40), "en", "hot" if i % 3 == 0 else f"s{i % 11}", 0) for i in range(300)]
     check_bins(rows, packing.pack(spark.createDataFrame(rows, SCHEMA), 64).collect(), 64)
+
+
+@pytest.mark.parametrize("limit", [7, 11])
+def test_code_lengths_are_those_of_a_heap(limit):
+    import heapq
+
+    r = random.Random(limit)
+    for _ in range(200):
+        counts = np.array([r.choice([0, r.randint(1, 3), r.randint(1, 10**6)]) for _ in range(r.randint(3, 100))] + [1, 1])
+        used = np.flatnonzero(counts).tolist()
+        weights, depth = counts[used].tolist(), []
+        while not depth or max(depth) > limit:
+            if depth:
+                weights = [(w + 1) // 2 for w in weights]
+            heap, depth = [(w, k, [k]) for k, w in enumerate(weights)], [0] * len(used)
+            for n in range(len(used), 2 * len(used) - 1):
+                (x, _, p), (y, _, q) = heapq.nsmallest(2, heap)
+                heap = [h for h in heap if h[2] is not p and h[2] is not q] + [(x + y, n, p + q)]
+                for k in p + q:
+                    depth[k] += 1
+        got = webp.code_lengths(counts, limit)
+        assert [got[s] for s in used] == depth and sum(map(bool, got)) == len(used)

@@ -11,8 +11,6 @@ pixel by pixel.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 
 #: Order in which the lengths of the code-length code are stored (fixed values of the format).
@@ -478,6 +476,10 @@ def _encode_fixed(samples: np.ndarray) -> bytes:
     return np.packbits(np.concatenate([lead, body]), bitorder="little").tobytes()
 
 
+#: More than all weights together.
+END = 1 << 62
+
+
 def code_lengths(counts: np.ndarray, limit: int) -> list[int]:
     """Lengths of a Huffman code of the symbols that occur, none over ``limit``; a lone one has 1."""
     lengths, used = [0] * len(counts), np.flatnonzero(counts).tolist()
@@ -486,17 +488,29 @@ def code_lengths(counts: np.ndarray, limit: int) -> list[int]:
         lengths[used[0] if used else 0] = 1
         return lengths
     while True:
-        heap = [(w, k) for k, w in enumerate(weights)]
-        heapq.heapify(heap)
-        parent, n = [0] * (2 * len(used) - 1), len(used)
-        while len(heap) > 1:
-            x, i = heapq.heappop(heap)
-            y, j = heap[0]
-            parent[i] = parent[j] = n
-            heapq.heapreplace(heap, (x + y, n))
-            n += 1
-        depth = [0] * n
-        for k in range(n - 2, -1, -1):
+        # Leaves by weight; sums come in order of weight by themselves, so that two rows need no heap.
+        n = len(used)
+        order = sorted(range(n), key=weights.__getitem__)
+        light = [weights[k] for k in order]
+        light.append(END)
+        parent, sums, i, j = [0] * (2 * n - 1), [END] * n, 0, 0
+        for k in range(n - 1):
+            if light[i] <= sums[j]:
+                x, a = light[i], order[i]
+                i += 1
+            else:
+                x, a = sums[j], n + j
+                j += 1
+            if light[i] <= sums[j]:
+                y, b = light[i], order[i]
+                i += 1
+            else:
+                y, b = sums[j], n + j
+                j += 1
+            parent[a] = parent[b] = n + k
+            sums[k] = x + y
+        depth = [0] * (2 * n - 1)
+        for k in range(2 * n - 3, -1, -1):
             depth[k] = depth[parent[k]] + 1
         if max(depth) <= limit:
             break
@@ -519,11 +533,14 @@ def _codes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _runs(lengths: np.ndarray) -> list[tuple[int, int, int]]:
     """Code lengths as symbols of their own code, each with extra bits and their number."""
-    edges = np.flatnonzero(np.diff(lengths, prepend=-1))
-    runs = []
-    for v, n in zip(lengths[edges].tolist(), np.diff(edges, append=len(lengths)).tolist(), strict=True):
+    ends = [*(np.flatnonzero(lengths[1:] != lengths[:-1]) + 1).tolist(), len(lengths)]
+    runs, at = [], 0
+    for v, end in zip(lengths[[e - 1 for e in ends]].tolist(), ends, strict=True):
+        n, at = end - at, end
         if v:
             runs.append((v, 0, 0))
+            if n == 1:
+                continue
             n -= 1
         while n >= 3:
             k = min(n, 6 if v else 138)
@@ -580,8 +597,8 @@ def _prefix(v: int) -> tuple[int, int, int]:
 
 def _cost(counts: np.ndarray) -> float:
     """Bits that symbols of these counts take, with their code."""
-    c = counts[counts > 0]
-    return float((c * np.log2(c.sum() / c)).sum()) + 5 * len(c)
+    c = counts[counts.nonzero()[0]]
+    return float(c @ np.log2(c.sum() / c)) + 5 * len(c)
 
 
 _CHANNELS = (np.arange(4) * 256).astype(np.int64)
